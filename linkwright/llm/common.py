@@ -28,14 +28,14 @@ def work_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     This cuts the lineage at a table that outlives any executor.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path  # for drop()
     return out
