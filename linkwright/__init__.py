@@ -1,0 +1 @@
+"""Record linkage and training-data preparation as Spark plans."""

@@ -1,0 +1 @@
+"""Nothing here: linkage is a batch job over immutable tables, and no operator of it is a stream."""
