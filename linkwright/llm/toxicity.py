@@ -45,7 +45,7 @@ def features(w: Words) -> np.ndarray:
     out[:, 0] = w.hash >> U64(64 - 18)
     for k, n in enumerate(PREFIXES):
         cut = np.minimum(w.begin + n, w.end)
-        h = mix((total[cut] - total[w.begin]) * down[w.begin] + U64(n) * U64(0xD6E8FEB86659FD93))
+        h = mix((total[cut] - total[w.begin]) * down[w.begin] + U64(n * 0xD6E8FEB86659FD93 % (1 << 64)))
         out[:, 1 + k] = h >> U64(64 - 18)
     return out
 
@@ -220,7 +220,6 @@ def training(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     use = labels.where("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     use = use.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit(7))
-    # as many toxic as there are in twice the sample, so that rare kinds are seen
     chosen = use.orderBy(order, "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.where(F.length("text") <= SAMPLE_CHARACTERS).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
