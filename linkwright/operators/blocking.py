@@ -29,7 +29,11 @@ DEFAULT_CAP = 150
 
 def _stacked(rows: DataFrame, keep: list[str], keys: dict[str, Column]) -> DataFrame:
     """keep, channel, key: one row for each entry of the key arrays."""
-    entries = [F.transform(ks, lambda k, c=c: F.struct(F.lit(c).alias("channel"), k.alias("key"))) for c, ks in keys.items()]
+
+    def entries_of(channel: str, values: Column) -> Column:
+        return F.transform(values, lambda k: F.struct(F.lit(channel).alias("channel"), k.alias("key")))
+
+    entries = [entries_of(c, ks) for c, ks in keys.items()]
     return rows.select(*keep, F.explode(F.concat(*entries)).alias("e")).select(*keep, "e.channel", "e.key")
 
 
@@ -202,11 +206,13 @@ def char_ngrams(value: Column, low: int = 3, high: int = 4) -> Column:
     longer than n gives itself once, for the smallest such n only."""
     padded = F.transform(T.tokens(value), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
 
+    def runs(w: Column, n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - (n - 1), F.lit(1))), lambda i: F.substring(w, i, F.lit(n)))
+
     def grams(w: Column) -> Column:
         out = None
         for n in range(low, high + 1):
-            last = F.length(w) - (n - 1)
-            part = F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i, n=n: F.substring(w, i, F.lit(n))))
+            part = F.when(F.length(w) >= n, runs(w, n))
             part = part.otherwise(F.when(F.lit(n == low), F.array(w)).otherwise(F.array().cast("array<string>")))
             if n > low:  # a word that an n below covered whole is done
                 part = F.when(F.length(w) <= n - 1, F.array().cast("array<string>")).otherwise(part)
