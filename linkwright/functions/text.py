@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from linkwright import vocab
 
@@ -28,12 +29,12 @@ def _beyond_ascii(value: Column) -> Column:
     return F.when(value.rlike(r"[^\x00-\x7F]"), value)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: unicodedata.normalize("NFKC", v), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _strip_accents(values: pd.Series) -> pd.Series:
     def strip(v: str) -> str:
         return "".join(c for c in unicodedata.normalize("NFD", v) if unicodedata.category(c) != "Mn")
