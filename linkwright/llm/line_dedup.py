@@ -1,38 +1,37 @@
 """Fuzzy line dedup by MinHash of character shingles (operator 4, native).
 
-Lines are the parts of a text between line feeds, normalised by lower-casing and
-collapsing white space.  Equal lines are one node.  A node's 8-character shingles are
-hashed once each; one aggregation without a shuffle keeps 40 minima of the hash rotated
-and masked in 40 ways.  Ten bands of four find the candidates, exact Jaccard similarity
-on the shingle sets (at least 0.8) confirms them, distributed union-find makes
-components, and of each component the first line (by doc_id, then line number) stays.
-
-A pair at exactly 0.8 shares no band with probability 0.005; that is the recall of the
-method.  All operations are DataFrame operations.
+Lines are the parts of a text between line feeds, normalised by lower-casing and trimming.
+Equal lines are one node.  A line's set are its 10-character shingles that begin where a
+word does (shorter ones at its end); an edit changes those of its word and of one or two
+before it.  Each shingle is hashed once; the hash picks one of 32 bins, and a node's
+signature is the least hash of each bin (one-permutation MinHash, Li, Owen and Zhang,
+2012).  Eight bands of four bins find the candidates, exact
+Jaccard similarity on the shingle sets (at least 0.85) confirms them, distributed
+union-find makes components, and of each component the first line (by doc_id, then line
+number) stays.
+
+A pair at exactly 0.85 shares no band with probability 0.003; that is the recall of the
+method.  All operations are DataFrame operations.  Signatures are aggregated where the
+lines are, without a shuffle of shingles.
 """
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.llm import nearlinks
 from linkwright.llm.common import stage, table
 
-SHINGLE = 8
-NUM, DEN = 80, 100
-BANDS, ROWS = 10, 4
+SHINGLE = 10
+NUM, DEN = 85, 100
+BANDS, ROWS = 8, 4
 #: Nodes with candidates that are broadcast at most (8 bytes each); beyond, a shuffle join.
 MOST_NODES = 1_000_000
 
-_RANDOM = random.Random(20240607)
-_WAYS = [(_RANDOM.randrange(1, 64), _RANDOM.randrange(-(1 << 63), 1 << 63)) for _ in range(BANDS * ROWS)]
-
 
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[\s\x{0B}]+", " "))
+    return F.btrim(F.lower(line), F.lit(" \t\r\x0b\x0c"))
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -42,39 +41,37 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def shingles(norm: Column) -> Column:
-    """All runs of SHINGLE characters; a shorter line is one."""
-    last = F.greatest(F.length(norm) - (SHINGLE - 1), F.lit(1))
-    return F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.substring(norm, i, F.lit(SHINGLE))))
+    """The shingles of a normalised line, which is not empty: one for each word, repeats kept."""
+    return F.regexp_extract_all(F.concat(F.lit(" "), norm), F.lit(f"(?s) (?=(.{{1,{SHINGLE}}}))"), F.lit(1))
+
+
+def shingle_set(norm: Column) -> Column:
+    """The distinct hashes of its shingles."""
+    return F.array_distinct(F.transform(shingles(norm), lambda x: F.xxhash64(x)))
 
 
 def banded(nodes: DataFrame) -> DataFrame:
-    """node, norm and the keys of its bands; nodes are partitioned by node, and stay so."""
-    last = F.greatest(F.length("norm") - (SHINGLE - 1), F.lit(1))
-    each = nodes.select("node", "norm", F.explode(F.sequence(F.lit(1), last)).alias("i"))
-    hashed = each.select("node", "norm", F.xxhash64(F.substring("norm", F.col("i"), F.lit(SHINGLE))).alias("h"))
-    least = []
-    for k, (turn, mask) in enumerate(_WAYS):
-        turned = F.shiftleft("h", turn).bitwiseOR(F.shiftrightunsigned("h", 64 - turn))
-        least.append(F.min(turned.bitwiseXOR(F.lit(mask).cast("long"))).alias(f"m{k}"))
-    signed = hashed.groupBy("node").agg(*least)
-    keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
-    return signed.select("node", F.array(*keys).alias("keys"))
+    """node and key of each band; nodes (node, norm) stay where they are partitioned by node."""
+    each = nodes.select("node", F.explode(shingles(F.col("norm"))).alias("shingle"))
+    hashed = each.select("node", F.xxhash64("shingle").alias("h"))
+    bins = hashed.groupBy("node", F.pmod("h", F.lit(BANDS * ROWS)).alias("bin")).agg(F.min("h").alias("least"))
+    keys = bins.groupBy("node", F.pmod("bin", F.lit(BANDS)).alias("band")).agg(F.bit_xor(F.xxhash64("bin", "least")).alias("key"))
+    return keys.select("node", F.xxhash64("band", "key").alias("key"))
 
 
 def components_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The lines as (doc_id, line_no, node), and (node, component) of nodes that are linked."""
-    found = lines(docs).withColumn("norm", normalised(F.col("line"))).where("norm <> ''")
-    found = found.select("doc_id", "line_no", F.xxhash64("norm").alias("node"), "norm")
+    found = lines(docs).select("doc_id", "line_no", normalised(F.col("line")).alias("norm")).where("norm <> ''")
+    found = stage(found.select("doc_id", "line_no", F.xxhash64("norm").alias("node"), "norm"), "lines", "zstd")
     nodes = found.groupBy("node").agg(F.first("norm").alias("norm"))
-    texts = stage(nodes, "lines", "zstd")
     bands = stage(banded(nodes), "bands")
-    members = stage(nearlinks.members(bands.select("node", F.explode("keys").alias("key"))), "members")
+    members = stage(nearlinks.members(bands), "members")
     asked = stage(members.select("node").distinct(), "nodes")
     few = asked.count() <= MOST_NODES
-    kept = stage(texts.join(F.broadcast(asked) if few else asked, "node"), "texts", "zstd")
-    sizes = kept.select("node", F.size(F.array_distinct(shingles(F.col("norm")))).alias("n"))
-    sets_of = lambda _: kept.select("node", F.array_distinct(shingles(F.col("norm"))).alias("items"))
-    labels = nearlinks.link(members, sizes, sets_of, lambda pairs: pairs, NUM, DEN)
+    texts = found.select("node", "norm").join(F.broadcast(asked) if few else asked, "node")
+    sets = stage(texts.groupBy("node").agg(F.first("norm").alias("norm")).select("node", shingle_set(F.col("norm")).alias("items")), "sets")
+    sizes = sets.select("node", F.size("items").alias("n"))
+    labels = nearlinks.link(members, sizes, lambda _: sets, NUM, DEN)
     return found.select("doc_id", "line_no", "node"), labels
 
 
@@ -87,7 +84,6 @@ def line_components(docs: DataFrame) -> DataFrame:
     doc_id come first.  An empty table gives an empty result; other columns are ignored.
     """
     found, labels = components_of(docs)
-    found = stage(found, "places")
     place = F.struct("doc_id", "line_no")
     first = found.groupBy("node").agg(F.min(place).alias("place"))
     rooted = first.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
