@@ -182,18 +182,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bands = nodes.select("node", F.explode("bands").alias("key"))
     found = stage(nearlinks.members(bands), "members")
 
-    def plausible(pairs: DataFrame) -> DataFrame:
-        left = pairs.join(nodes.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a")
-        both = left.join(nodes.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b")
-        return both.where(estimated(F.col("x"), F.col("y")) >= LEAST_ESTIMATE).select("a", "b")
-
     labels = nearlinks.link(
         found,
         holders.select("node", "n"),
-        lambda asked: sets_of(docs, holders.select("node", "doc_id"), asked),
-        plausible,
+        lambda asked: stage(sets_of(docs, holders.select("node", "doc_id"), asked), "sets"),
         NUM,
         DEN,
+        nodes.select("node", "sig"),
+        lambda x, y: estimated(x, y) >= LEAST_ESTIMATE,
     )
     rooted = holders.join(labels, "node", "left").withColumn("root", F.coalesce("component", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -9,8 +9,10 @@ bucket are never paired with each other.  Instead
 2. only buckets that still hold several components are looked at again.  Two members
    of different components can be linked only if enough of their elements occur in
    another such text at all: |a & b| >= t / (1 + t) * (|a| + |b|), and |a & b| is
-   at most the number of shared elements of either.  Texts with random edits fail
-   this, as what they changed occurs nowhere else; who passes is compared.
+   at most the number of shared elements of either.  If both have the same hub, it is
+   also at most what both share with the hub at most, and the rarer shared elements that
+   the hub lacks.  Texts with random edits fail this, as what they changed occurs
+   nowhere else; who passes is compared.
 
 Step 2 has no cap: every pair that the bound and the bands allow is verified.
 All operations are DataFrame operations.
@@ -28,17 +30,22 @@ from linkwright.llm.components import components
 SMALL_BUCKET = 16
 
 
-def similar(x: Column, y: Column, num: int, den: int) -> Column:
-    """Exact test: den * |x & y| >= num * |x | y|, for arrays without repeats."""
-    both = F.size(F.array_intersect(x, y)).cast("long")
-    return (both > 0) & (den * both >= num * (F.size(x).cast("long") + F.size(y).cast("long") - both))
+def enough(both: Column, total: Column, num: int, den: int) -> Column:
+    """den * both >= num * (total - both): sets with so many elements in common are similar."""
+    return (both > 0) & (den * both >= num * (total - both))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar; sets: node, items."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (a, b) with x and y, their sets, and both, the number of common elements; sets: node, items."""
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
-    return both.where(similar(F.col("x"), F.col("y"), num, den)).select("a", "b")
+    right = left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
+    return right.withColumn("both", F.size(F.array_intersect("x", "y")).cast("long"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar, exactly."""
+    total = F.size("x").cast("long") + F.size("y").cast("long")
+    return compared(pairs, sets).where(enough(F.col("both"), total, num, den)).select("a", "b")
 
 
 def members(bands: DataFrame) -> DataFrame:
@@ -56,8 +63,11 @@ def hubs(found: DataFrame) -> DataFrame:
     return near.groupBy("node").agg(F.max("top").alias("top")).select(F.col("node").alias("a"), F.col("top.node").alias("b"))
 
 
-def leftovers(found: DataFrame, labels: DataFrame, sizes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) pairs of different components that a bucket and the bound of step 2 allow."""
+def leftovers(found, labels, sizes, sets, near, num: int, den: int, sketches=None, likely=None) -> DataFrame:
+    """(a, b) pairs of different components that a bucket and the bounds of step 2 allow, once each.
+
+    near: node, hub, inhub (elements that the hub has too), novel (the others).
+    """
     marked = (
         found.join(labels.select("node", F.col("component").alias("c")), "node", "left")
         .withColumn("c", F.coalesce("c", "node"))
@@ -66,45 +76,69 @@ def leftovers(found: DataFrame, labels: DataFrame, sizes: DataFrame, sets: DataF
     mixed = marked.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
     open_ = stage(marked.join(mixed, "key"), "open")
     large = open_.where(F.col("size") > SMALL_BUCKET)
-    items = sets.join(large.select("node").distinct(), "node").select("node", F.explode("items").alias("item"))
+    crowd = large.select("node").distinct()
+    items = sets.join(crowd, "node").select("node", F.explode("items").alias("item"))
     twice = items.groupBy("item").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("item")
     shared = items.join(twice, "item").groupBy("node").agg(F.count("*").alias("s"))
+    novel = near.join(crowd, "node").select("node", "hub", F.explode("novel").alias("item"))
+    again = novel.groupBy("hub", "item").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("hub", "item")
+    beyond = novel.join(again, ["hub", "item"]).groupBy("node").agg(F.count("*").alias("sn"))
+    known = near.select("node", "hub", "inhub").join(beyond, "node", "left")
     # a may have partners of den * n / num elements at most and num * n / den at least
-    fit = (
-        large.join(shared, "node")
-        .where((F.col("s") * den >= F.col("n") * num))
-        .select("key", "node", "c", "n", "s")
+    fit = large.join(shared, "node").where((F.col("s") * den >= F.col("n") * num)).join(known, "node", "left")
+    fit = fit.select(
+        "key",
+        "node",
+        "c",
+        "n",
+        F.col("s").cast("long").alias("s"),
+        F.coalesce("hub", "node").alias("hub"),
+        F.coalesce("inhub", F.col("n").cast("long")).alias("inhub"),
+        F.coalesce("sn", F.lit(0)).cast("long").alias("sn"),
     )
-    small = open_.where(F.col("size") <= SMALL_BUCKET).select("key", "node", "c", "n", F.col("n").cast("long").alias("s"))
-    rows = stage(small.unionByName(fit.select("key", "node", "c", "n", F.col("s").cast("long").alias("s"))), "fit")
+    n = F.col("n").cast("long")
+    small = open_.where(F.col("size") <= SMALL_BUCKET)
+    small = small.select("key", "node", "c", "n", n.alias("s"), F.col("node").alias("hub"), n.alias("inhub"), F.lit(0).cast("long").alias("sn"))
+    rows = small.unionByName(fit)
+    keys = rows.groupBy("node").agg(F.collect_set("key").alias("keys"))  # as many as there are bands at most
+    rows = rows.join(keys, "node")
+    rows = stage(rows if sketches is None else rows.join(sketches, "node"), "fit")
     x, y = rows.alias("x"), rows.alias("y")
     total = F.col("x.n") + F.col("y.n")
+    most = F.least("x.s", "y.s")
+    by_hub = F.least("x.inhub", "y.inhub") + F.least("x.sn", "y.sn")
+    most = F.when(F.col("x.hub") == F.col("y.hub"), F.least(most, by_hub)).otherwise(most)
     pairs = x.join(
         y,
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.node") < F.col("y.node"))
         & (F.col("x.c") != F.col("y.c"))
         & (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num)
-        & (F.least("x.s", "y.s") * (num + den) >= total * num),
+        & (most * (num + den) >= total * num)
+        & (F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key"))
+        & (F.lit(True) if likely is None else likely(F.col("x.sig"), F.col("y.sig"))),
     )
-    out = stage(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
+    out = stage(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "pairs")
     drop(open_, rows)
     return out
 
 
-def link(found: DataFrame, sizes: DataFrame, sets_of, plausible, num: int, den: int) -> DataFrame:
+def link(found: DataFrame, sizes: DataFrame, sets_of, num: int, den: int, sketches=None, likely=None) -> DataFrame:
     """Components (node, component) of the nodes that verified links connect.
 
     found: members(); sizes: node, n (elements); sets_of(nodes) gives node, items for
-    the asked nodes; plausible(pairs) drops pairs whose estimate is far too low.
+    the asked nodes, from a staged table.  With sketches (node, sig) the pairs of step 2
+    are dropped whose likely(sig, sig) is false: those that an estimate rules out.
     """
-    first = stage(plausible(hubs(found)), "hubs")
-    sets = stage(sets_of(found.select("node").distinct()), "sets")
-    edges = stage(verified(first, sets, num, den), "links")
+    sets = sets_of(found.select("node").distinct())
+    first = compared(hubs(found), sets)
+    near = stage(first.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.col("both").alias("inhub"), F.array_except("x", "y").alias("novel"), F.size("y").alias("hub_n")), "near")
+    total = F.col("inhub") + F.size("novel") + F.col("hub_n")
+    edges = stage(near.where(enough(F.col("inhub"), total, num, den)).select(F.col("node").alias("a"), F.col("hub").alias("b")), "links")
     labels = stage(components(edges), "labels")
-    rest = leftovers(found, labels, sizes, sets, num, den)
-    more = stage(verified(plausible(rest), sets, num, den), "links")
-    drop(first, sets, rest)
+    rest = leftovers(found, labels, sizes, sets, near, num, den, sketches, likely)
+    more = stage(verified(rest, sets, num, den), "links")
+    drop(near, rest)
     if more.isEmpty():
         return labels
     return components(edges.unionByName(more))

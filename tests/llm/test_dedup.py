@@ -161,7 +161,7 @@ def test_leftover_pairs_are_found(spark, monkeypatch):
     for small in (16, 1):
         monkeypatch.setattr(nearlinks, "SMALL_BUCKET", small)
         labels = nearlinks.link(
-            nearlinks.members(bands), sets.select("node", F.size("items").alias("n")), lambda _: sets, lambda pairs: pairs, 75, 100
+            nearlinks.members(bands), sets.select("node", F.size("items").alias("n")), lambda _: sets, 75, 100
         )
         assert {r["node"]: r["component"] for r in labels.collect()} == {1: 1, 2: 1, 3: 3, 4: 3}
 
