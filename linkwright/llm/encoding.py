@@ -19,22 +19,46 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Pieces kept by a process; the table is begun anew when full.
-KEPT_PIECES = 400_000
+#: Pieces that a process keeps, and pieces it remembers to have met once; either table is
+#: begun anew when full.  Only pieces met twice are kept, as most others never come again.
+KEPT_PIECES, MET_PIECES = 1_000_000, 500_000
 _PIECE = re.compile(r"\s+(?!\S)|\s?\S+")
-_SEPARATOR = re.compile("[\x1c-\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: A line feed or space, a word of ASCII and Latin-1 letters, and marks that end a piece.
+#: These are pre-tokens: marks after a letter begin one, and so does what follows a line feed.
+_WORD = re.compile(r"(\n?)( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary, for str.translate."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
 
 
 class _Pieces(dict):
     def __init__(self, tokenizer: Tokenizer) -> None:
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model, _byte_letters()
+        self.met: set[str] = set()
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
-        if len(self) >= KEPT_PIECES:
-            self.clear()
-        self[piece] = ids
+        word = _WORD.fullmatch(piece)
+        if word is None:
+            ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        elif word[1] or word[3]:
+            ids = b"".join(self[part] for part in word.groups() if part)
+        else:  # one pre-token: straight to the model
+            shown = piece.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        if piece in self.met:
+            if len(self) >= KEPT_PIECES:
+                self.clear()
+            self[piece] = ids
+        else:
+            if len(self.met) >= MET_PIECES:
+                self.met.clear()
+            self.met.add(piece)
         return ids
 
 
@@ -55,13 +79,12 @@ class Encoder:
             and not pre.get("add_prefix_space", True)
             and not spec["model"].get("dropout")
         )
-        added = [re.escape(x["content"]) for x in spec["added_tokens"]]
-        self._whole = re.compile("|".join([_SEPARATOR.pattern, *added]))
+        self._whole = [*_SEPARATORS, *(x["content"] for x in spec["added_tokens"])]
         self._pieces = _Pieces(self.tokenizer)
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        if self.cuttable and not self._whole.search(text):
+        if self.cuttable and not any(x in text for x in self._whole):
             return b"".join(map(self._pieces.__getitem__, _PIECE.findall(text)))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
