@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.llm.common import table
-from linkwright.llm.words import ALNUM, U64, Words, _powers, chunks, mix, words_of
+from linkwright.llm.words import ALNUM, U64, Words, _powers, chunks, mix
 
 #: Labelled documents the model is fitted on, at most, chosen by a hash of doc_id; longer ones are not chosen.
-SAMPLE = 6_000
+SAMPLE = 5_000
 SAMPLE_CHARACTERS = 50_000
 THRESHOLD = 0.3
 BUCKETS = 1 << 18
@@ -41,7 +41,7 @@ def features(w: Words) -> np.ndarray:
     up, down = _powers(len(w.data) + 1)
     total = np.zeros(len(w.data) + 1, dtype=U64)
     np.cumsum((w.data.astype(U64) + U64(1)) * up[: len(w.data)], out=total[1:])
-    out = np.empty((len(w.hash), 1 + len(PREFIXES)), dtype=np.int64)
+    out = np.empty((len(w.hash), 1 + len(PREFIXES)), dtype=np.int32)
     out[:, 0] = w.hash >> U64(64 - 18)
     for k, n in enumerate(PREFIXES):
         cut = np.minimum(w.begin + n, w.end)
@@ -60,12 +60,14 @@ def _products(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     padded[:n] = m
     padded = padded.reshape(count, size, 2, 2)
     run = np.empty_like(padded)
-    cur = padded[:, 0]
-    run[:, 0] = cur
+    run[:, 0] = padded[:, 0]
+    a, b, c, d = (padded[:, 0, i, j] for i in (0, 1) for j in (0, 1))
     for i in range(1, size):
-        cur = cur @ padded[:, i]
-        cur = cur / cur.sum(axis=(1, 2), keepdims=True)
-        run[:, i] = cur
+        p, q, r, s = (padded[:, i, k, j] for k in (0, 1) for j in (0, 1))
+        a, b, c, d = a * p + b * r, a * q + b * s, c * p + d * r, c * q + d * s
+        total = a + b + c + d
+        a, b, c, d = a / total, b / total, c / total, d / total
+        run[:, i, 0, 0], run[:, i, 0, 1], run[:, i, 1, 0], run[:, i, 1, 1] = a, b, c, d
     return run, run[:, -1], size
 
 
@@ -126,28 +128,26 @@ class Crf:
         xi /= xi.sum(axis=(1, 2), keepdims=True)
         return p[:, 1], xi, t
 
-    def fit(self, f: np.ndarray, y: np.ndarray, first: np.ndarray, steps: int = STEPS, rate: float = 0.5) -> "Crf":
-        """Adam on the mean conditional log-likelihood with a little shrinkage."""
+    def fit(self, parts: list[tuple], steps: int = STEPS, rate: float = 0.5) -> "Crf":
+        """Adam on the mean conditional log-likelihood with a little shrinkage.
+
+        parts: (features, token labels, first tokens of texts) of some texts at a time, so that
+        the passes need memory for one part only.
+        """
         state = {k: [np.zeros_like(np.asarray(getattr(self, k), dtype=float)) for _ in range(2)] for k in ("weights", "bias", "move", "start")}
-        truth_moves = np.zeros((2, 2))
-        inner = np.ones(len(y), dtype=bool)
-        inner[first] = False
-        t = np.flatnonzero(inner)
-        np.add.at(truth_moves, (y[t - 1], y[t]), 1)
-        scale = max(1, y.sum())
+        scale = max(1, sum(int(y.sum()) for _, y, _ in parts))
         for step in range(1, steps + 1):
-            p, xi, _ = self.marginals(f, first, pairs=True)
-            diff = y - p
-            w = np.zeros(BUCKETS)
-            for k in range(f.shape[1]):
-                w += np.bincount(f[:, k], diff, BUCKETS)
-            starts = np.array([(y[first] == 0).sum() - (1 - p[first]).sum(), y[first].sum() - p[first].sum()])
-            grads = {
-                "weights": w / scale - 1e-4 * self.weights,
-                "bias": diff.sum() / scale,
-                "move": (truth_moves - xi.sum(axis=0)) / scale,
-                "start": starts / scale,
-            }
+            w, bias, move, start = np.zeros(BUCKETS), 0.0, np.zeros((2, 2)), np.zeros(2)
+            for f, y, first in parts:
+                p, xi, t = self.marginals(f, first, pairs=True)
+                diff = y - p
+                for k in range(f.shape[1]):
+                    w += np.bincount(f[:, k], diff, BUCKETS)
+                bias += diff.sum()
+                np.add.at(move, (y[t - 1], y[t]), 1)
+                move -= xi.sum(axis=0)
+                start += diff[first].sum() * np.array([-1, 1])
+            grads = {"weights": w / scale - 1e-4 * self.weights, "bias": bias / scale, "move": move / scale, "start": start / scale}
             for k, g in grads.items():
                 a, b = state[k]
                 a[...] = 0.9 * a + 0.1 * g
@@ -182,20 +182,29 @@ class Crf:
         return 1 / (1 + np.exp(-(self.slope * x + self.offset)))
 
 
-def token_labels(f: np.ndarray, own: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """1 for tokens of toxic documents with a feature that tells toxic documents."""
-    n = len(toxic)
-    y = np.zeros(len(f), dtype=np.int64)
-    share = toxic.sum() / max(1, n)
-    for k in range(f.shape[1]):
-        pair = np.unique(own * BUCKETS + f[:, k])  # once for each document
-        doc, bucket = pair // BUCKETS, pair % BUCKETS
-        bad = np.bincount(bucket[toxic[doc] == 1], minlength=BUCKETS)
-        good = np.bincount(bucket[toxic[doc] == 0], minlength=BUCKETS)
+def telling_features(parts: list[tuple]) -> list[np.ndarray]:
+    """For each kind of feature, which of its values tell toxic documents; parts: (features, owner, toxic)."""
+    docs = sum(len(toxic) for _, _, toxic in parts)
+    share = sum(int(toxic.sum()) for _, _, toxic in parts) / max(1, docs)
+    out = []
+    for k in range(1 + len(PREFIXES)):
+        bad, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
+        for f, own, toxic in parts:
+            pair = np.unique(own * BUCKETS + f[:, k])  # once for each document
+            marked = toxic[pair // BUCKETS] == 1
+            bad += np.bincount(pair[marked] % BUCKETS, minlength=BUCKETS)
+            good += np.bincount(pair[~marked] % BUCKETS, minlength=BUCKETS)
         # found in 3 toxic documents at least, and 20 times as often in toxic as in clean ones
-        telling = (bad >= 3) & (bad * (1 - share) >= 20 * (good + 0.25) * share)
-        y |= telling[f[:, k]] & (toxic[own] == 1)
-    return y
+        out.append((bad >= 3) & (bad * (1 - share) >= 20 * (good + 0.25) * share))
+    return out
+
+
+def token_labels(f: np.ndarray, own: np.ndarray, toxic: np.ndarray, telling: list[np.ndarray]) -> np.ndarray:
+    """1 for tokens of toxic documents with a feature that tells toxic documents."""
+    y = np.zeros(len(f), dtype=bool)
+    for k, values in enumerate(telling):
+        y |= values[f[:, k]]
+    return (y & (toxic[own] == 1)).astype(np.int64)
 
 
 def fit(texts: list[str], toxic: np.ndarray) -> Crf:
@@ -205,14 +214,16 @@ def fit(texts: list[str], toxic: np.ndarray) -> Crf:
         model.offset = 4.0 if len(texts) and toxic.max() else -4.0
         model.slope = 0.0
         return model
-    raw = [t.encode() for t in texts]
-    bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-    w = words_of(np.frombuffer(b"".join(raw), dtype=np.uint8), bounds, range(len(raw)), ALNUM, True)
-    f, own = features(w), w.owner()
-    y = token_labels(f, own, toxic)
-    first = w.first[:-1][w.counts() > 0]
-    model.fit(f, y, first)
-    return model.calibrate(model.summary(model.marginals(f, first), w.first), toxic.astype(float))
+    seen, bounds = [], []
+    for w in chunks(pa.array(texts, pa.large_string()), ALNUM, lower=True):
+        marks = toxic[w.rows.start : w.rows.stop]
+        seen.append((features(w), w.owner(), marks, w.first[:-1][w.counts() > 0]))
+        bounds.append(w.first)
+    telling = telling_features([x[:3] for x in seen])
+    parts = [(f, token_labels(f, own, marks, telling), first) for f, own, marks, first in seen if len(f)]
+    model.fit(parts)
+    known = [model.summary(model.marginals(f, first) if len(f) else np.zeros(0), b) for (f, _, _, first), b in zip(seen, bounds)]
+    return model.calibrate(np.concatenate(known), toxic.astype(float))
 
 
 def training(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -264,9 +275,8 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
     is scored, and trains nothing; without labels of both kinds all scores are alike.
     """
     spark = docs.sparkSession
-    rows = training(docs, labels, sample).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    model = fit([r["text"] for r in rows], np.array([r["toxic"] for r in rows], dtype=np.int64))
+    rows = sorted((r["doc_id"], r["text"], r["toxic"]) for r in training(docs, labels, sample).collect())
+    model = fit([r[1] for r in rows], np.array([r[2] for r in rows], dtype=np.int64))
     keep = [c for c in docs.columns if c not in ("score", "spans")]
     out = docs.select(*keep)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
