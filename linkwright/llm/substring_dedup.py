@@ -5,8 +5,8 @@ start, as a window, in a document with a smaller doc_id.
 
 The reference of each document is all documents before it, which no executor could hold
 as one automaton.  So the reference is cut into shards by content: every window has a
-key, the least fingerprint of the 8-word runs in it, and equal windows have equal keys.
-Runs of windows with one key (a segment, 71 words on average) go to the shard of that
+key, the least fingerprint of the 32-word runs in it, and equal windows have equal keys.
+Runs of windows with one key (a segment, 59 words on average) go to the shard of that
 key, and only if texts that differ share the key.  Within a shard segments come in order
 of their first document: each is streamed through the automaton of the segments of
 smaller documents, its matching statistics give the maximal runs of at least `width`
@@ -16,8 +16,10 @@ broadcast of it has no size bound.
 
 Equal texts are compared once (their first document stands for them), and so are equal
 segments.  Keys that very many segments share (`crowd`) would make a shard of unbounded
-size from segments that differ only in what surrounds a passage; their segments are first
-cut to the windows that two documents have, after which equal content collapses.
+size from segments that differ only in what surrounds a passage.  Their segments are
+streamed through the automata of the key's first few segments, wherever they are; of what
+these do not explain only the windows that two documents have go on to a shard, after
+which equal content collapses.
 
 Words are compared as 32-bit fingerprints within windows of `width` words, texts as
 64-bit fingerprints.
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkwright.llm.automaton import SuffixAutomaton
@@ -38,9 +40,12 @@ from linkwright.llm.common import documents, drop, stage
 from linkwright.llm.words import SPACED, U64, Words, chunks, rolling, sliding_min, starts_inside
 
 WIDTH = 50
-KEY_WORDS = 8
-#: Segments of one key from which on they are cut to shared windows first.
+#: Longer keys give more and shorter segments, and fewer windows that straddle the ends of a passage.
+KEY_WORDS = 32
+#: Documents that share a key from which on it counts as crowded.
 CROWD = 200
+#: Segments of a crowded key that its others are compared with first.
+REFS = 4
 
 
 def _hash(data: bytes) -> int:
@@ -142,28 +147,65 @@ def _cut(width: int):
     return cut
 
 
-def _windows(width: int):
-    """Fingerprint of each window of crowded segments."""
+def _runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
+    """First and after-last position of each run of set flags."""
+    return [tuple(r) for r in np.flatnonzero(np.diff(flags.astype(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist()]
+
+
+def _first_look(width: int):
+    """Crowded segments by key (key, same, doc_id, content, refs) with their windows that a
+    segment of refs, of a smaller document, has; the other windows are left open."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, automata = None, []
+        for batch in batches:
+            hits, left = [], []
+            for k, doc, content, refs in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "content", "refs"))):
+                if k != key:
+                    key, automata = k, []
+                    for r in refs:
+                        automata.append((r["doc_id"], SuffixAutomaton()))
+                        automata[-1][1].add(np.frombuffer(r["content"], dtype=np.uint32).tolist())
+                symbols = np.frombuffer(content, dtype=np.uint32).tolist()
+                known = np.zeros(len(symbols) - width + 1, dtype=bool)
+                for of, automaton in automata:
+                    if of < doc and not known.all():
+                        known |= np.array(automaton.matching_statistics(symbols))[width - 1 :] >= width
+                hits.append([{"lo": i, "hi": j} for i, j in _runs_of(known)])
+                left.append([{"lo": i, "hi": j} for i, j in _runs_of(~known)])
+            kind = _HITS.field("hits").type
+            columns = [batch.column(c) for c in ("key", "same", "doc_id", "content")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(hits, kind), pa.array(left, kind)], ["key", "same", "doc_id", "content", "hits", "open"]
+            )
+
+    return look
+
+
+def _open_windows(width: int):
+    """Fingerprints of the open windows of crowded segments."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["print", "doc_id", "digest", "start", "key", "offset"]
         for batch in batches:
-            meta = batch.select(["doc_id", "digest", "start", "key", "content"]).to_pylist()
-            for m in meta:
-                h = np.frombuffer(m["content"], dtype=np.uint32).astype(U64)
-                f = rolling(h, width).view(np.int64)
-                same = [pa.array(np.full(len(f), m[k], dtype=np.int64)) if m[k] is not None else pa.nulls(len(f), pa.int64()) for k in ("doc_id", "digest")]
-                start = pa.array(np.full(len(f), m["start"], dtype=np.int32))
-                key = pa.array(np.full(len(f), m["key"], dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(f), *same, start, key, pa.array(np.arange(len(f), dtype=np.int32))], names)
+            columns = zip(*(batch.column(c).to_pylist() for c in ("key", "same", "doc_id", "content", "open")))
+            for key, same, doc, content, runs in columns:
+                if not runs:
+                    continue
+                f = rolling(np.frombuffer(content, dtype=np.uint32).astype(U64), width).view(np.int64)
+                at = np.concatenate([np.arange(r["lo"], r["hi"]) for r in runs])
+                fixed = [pa.array(np.full(len(at), v, dtype=np.int64)) for v in (key, same, doc)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(f[at]), *fixed, pa.array(at.astype(np.int32))], ["print", "key", "same", "doc_id", "offset"]
+                )
 
     return windows
 
 
-def _trim(width: int):
-    """Crowded segments with the offsets of their shared windows to segments of those only."""
+def _pieces(width: int):
+    """Crowded segments with the offsets of open windows that another document has, to the runs of these."""
+    names = ["key", "parent", "doc_id", "shift", "windows", "content", "same"]
 
-    def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for m in batch.to_pylist():
@@ -171,11 +213,12 @@ def _trim(width: int):
                 for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
                     i, n = int(run[0]), len(run)
                     content = m["content"][4 * i : 4 * (i + n + width - 1)]
-                    rows.append(_segment(m["key"], False, m["doc_id"], m["digest"], m["start"] + i, n, content))
+                    rows.append((m["key"], m["same"], m["doc_id"], i, n, content, _hash(content)))
             if rows:
-                yield _batch(rows, _SEGMENT)
+                types = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.binary(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    return trim
+    return pieces
 
 
 _HITS = pa.schema(
@@ -296,14 +339,50 @@ def _segments(docs: DataFrame, scanned: DataFrame, first: DataFrame, width: int,
     return stage(texts.mapInArrow(_cut(width), SEGMENT), "segments")
 
 
-def _trimmed(segments: DataFrame, width: int) -> DataFrame:
-    """The crowded segments, cut to windows that two documents have."""
-    crowded = segments.where("crowded")
-    seen = crowded.mapInArrow(_windows(width), "print long, doc_id long, digest long, start int, key long, offset int")
+def _hits(distinct: DataFrame, width: int) -> DataFrame:
+    """key, same, hits of distinct segments (key, doc_id, same, content), shard by shard."""
+    shards = distinct.select("key", "doc_id", "same", "content").repartition("key").sortWithinPartitions("key", "doc_id", "same")
+    return shards.mapInArrow(_match(width), "key long, same long, hits array<struct<lo: int, hi: int>>")
+
+
+def _decided(places: DataFrame, owners: DataFrame, hits: DataFrame, at: str) -> DataFrame:
+    """places (key, same, doc_id, windows and where they begin) with runs, the windows known before.
+
+    All of them in documents after the first with this content, else the hits.
+    """
+    known = owners.join(hits, ["key", "same"], "left")
+    begin = F.col(at)
+    whole = F.array(F.struct(begin.alias("lo"), (begin + F.col("windows")).alias("hi")))
+    part = F.transform("hits", lambda h: F.struct((h["lo"] + begin).alias("lo"), (h["hi"] + begin).alias("hi")))
+    runs = F.when(F.col("doc_id") > F.col("owner"), whole).otherwise(part)
+    return places.join(known, ["key", "same"]).withColumn("runs", runs).where("runs is not null")
+
+
+def _crowded_hits(crowded: DataFrame, width: int) -> DataFrame:
+    """key, same, hits of distinct segments whose keys very many share.
+
+    First each goes through the automata of the key's REFS first segments.  What these do
+    not explain is mostly unique to its document; only runs of windows that two documents
+    have go on, and these collapse into few.
+    """
+    order = Window.partitionBy("key").orderBy("doc_id", "same")
+    first = crowded.withColumn("place", F.row_number().over(order)).where(F.col("place") <= REFS)
+    refs = first.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("doc_id", "content"))).alias("refs"))
+    hits = "array<struct<lo: int, hi: int>>"
+    joined = crowded.join(refs, "key").select("key", "same", "doc_id", "content", "refs")
+    looked = stage(joined.mapInArrow(_first_look(width), f"key long, same long, doc_id long, content binary, hits {hits}, open {hits}"), "looked")
+    seen = looked.mapInArrow(_open_windows(width), "print long, key long, same long, doc_id long, offset int")
     twice = seen.groupBy("print").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("print")
-    name = ["doc_id", "digest", "start", "key"]
-    offsets = seen.join(twice, "print").groupBy(*name).agg(F.collect_list("offset").alias("offsets"))
-    return crowded.select(*name, "content").join(offsets, name).mapInArrow(_trim(width), SEGMENT)
+    offsets = seen.join(twice, "print").groupBy("key", "same").agg(F.collect_list("offset").alias("offsets"))
+    cut = looked.select("key", "same", "doc_id", "content").join(offsets, ["key", "same"])
+    pieces = stage(
+        cut.mapInArrow(_pieces(width), "key long, parent long, doc_id long, shift int, windows int, content binary, same long"), "pieces"
+    )
+    distinct = pieces.groupBy("key", "same").agg(F.min("doc_id").alias("doc_id"), F.first("content").alias("content"))
+    owners = pieces.groupBy("key", "same").agg(F.min("doc_id").alias("owner"))
+    more = _decided(pieces.drop("content"), owners, _hits(distinct, width), "shift")
+    both = looked.select("key", "same", "hits").unionByName(more.select("key", F.col("parent").alias("same"), F.col("runs").alias("hits")))
+    return both.groupBy("key", "same").agg(F.flatten(F.collect_list("hits")).alias("hits"))
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD) -> DataFrame:
@@ -318,21 +397,17 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD) -> D
     scanned = stage(texts.where("doc_id is not null").mapInArrow(_scan(width), "doc_id long, digest long, keys array<long>"), "scanned")
     owners = scanned.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     segments = _segments(texts, scanned, owners, width, crowd)
-    trimmed = stage(_trimmed(segments, width), "trimmed")
-    every = segments.where("not crowded").unionByName(trimmed)
-    distinct = every.groupBy("key", "same").agg(F.min("doc_id").alias("doc_id"), F.first("content").alias("content"))
-    shards = distinct.select("key", "doc_id", "same", "content").repartition("key").sortWithinPartitions("key", "doc_id", "same")
-    hits = shards.mapInArrow(_match(width), "key long, same long, hits array<struct<lo: int, hi: int>>")
-
-    narrow = every.select("key", "same", "doc_id", "digest", "start", "windows")
-    earliest = narrow.groupBy("key", "same").agg(F.min("doc_id").alias("owner")).join(hits, ["key", "same"], "left")
-    at = F.col("start")
-    whole = F.array(F.struct(at.alias("lo"), (at + F.col("windows")).alias("hi")))
-    part = F.transform("hits", lambda h: F.struct((h["lo"] + at).alias("lo"), (h["hi"] + at).alias("hi")))
-    decided = narrow.join(earliest, ["key", "same"]).withColumn("runs", F.when(F.col("doc_id") > F.col("owner"), whole).otherwise(part))
+    distinct = segments.groupBy("key", "same", "crowded").agg(F.min("doc_id").alias("doc_id"), F.first("content").alias("content"))
+    distinct = stage(distinct, "distinct")
+    hits = _hits(distinct.where("not crowded"), width).unionByName(_crowded_hits(distinct.where("crowded"), width))
+    decided = _decided(
+        segments.select("key", "same", "doc_id", "digest", "start", "windows"),
+        distinct.select("key", "same", F.col("doc_id").alias("owner")),
+        hits,
+        "start",
+    )
     runs = (
-        decided.where("runs is not null")
-        .groupBy("doc_id", "digest")
+        decided.groupBy("doc_id", "digest")
         .agg(F.flatten(F.collect_list("runs")).alias("hits"))
         .withColumn("copy", F.lit(False))
     )
@@ -344,7 +419,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD) -> D
     )
     decisions = runs.unionByName(copies).groupBy("doc_id").agg(F.collect_set(F.struct("digest", "copy", "hits")).alias("decisions"))
     decisions = stage(decisions, "decisions")
-    drop(scanned, segments, trimmed)
+    drop(scanned, segments, distinct)
     joined = texts.join(decisions.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "decisions")
     return joined.mapInArrow(
         _apply(width), "doc_id long, n_words long, n_removed long, spans array<struct<first: int, last: int>>, kept_text string"
