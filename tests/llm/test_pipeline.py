@@ -19,7 +19,7 @@ def test_stages_in_turn(spark, tmp_path):
     frame(spark, labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     frame(spark, [("q", words(12))], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     held = spark.read.parquet(str(tmp_path / "documents.parquet"))
-    truth = {d: y for d, _, y in labels}
+    truth = {d: y for d, _, y in labels} | {1000 + i: labels[i][2] for i in range(20)}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         stage(spark, held, str(tmp_path)).write.parquet(str(tmp_path / name))
         out = spark.read.parquet(str(tmp_path / name))
