@@ -288,7 +288,7 @@ def candidate_pairs(r):
 
 def _flawed(r):
     """Results with faults of every kind, for the validator to find."""
-    n = F.substring("source1_entity_id", 4, 20).cast("long")
+    n = F.substring("source1_entity_id", 4, 20).try_cast("long")
     good = r.truth.select("source1_entity_id", "ids")
     shifted = good.where(n % 10 != 3).select(F.when(n % 10 == 1, F.concat("source1_entity_id", F.lit("x"))).otherwise(F.col("source1_entity_id")).alias("source1_entity_id"), "ids")
     again = good.where(n % 10 == 2)
