@@ -39,9 +39,9 @@ class EntityMatcher:
         self.models = []
         for k in range(CALIBRATION_FOLDS):
             seen, unseen = assemble.transform(rows.where(F.col("_fold") != k)), assemble.transform(rows.where(F.col("_fold") == k))
-            trees = GBTClassifier(weightCol="weight", probabilityCol="p", rawPredictionCol="raw", predictionCol="guess", **self.options).fit(seen)
+            trees = GBTClassifier(weightCol="weight", predictionCol="guess", **self.options).fit(seen)
             margin = VectorAssembler(inputCols=["margin"], outputCol="margins")
-            held = margin.transform(trees.transform(unseen).withColumn("margin", vector_to_array("raw")[1]))
+            held = margin.transform(trees.transform(unseen).withColumn("margin", vector_to_array("rawPrediction")[1]))
             platt = LogisticRegression(featuresCol="margins", probabilityCol="q", rawPredictionCol="qraw", predictionCol="qguess").fit(held)
             self.models.append(PipelineModel([assemble, trees, margin, platt]))
         rows.unpersist()
@@ -52,9 +52,9 @@ class EntityMatcher:
         out, parts = features, []
         for k, model in enumerate(self.models):
             assemble, trees, margin, platt = model.stages
-            scored = trees.transform(assemble.transform(out)).withColumn("margin", vector_to_array("raw")[1])
+            scored = trees.transform(assemble.transform(out)).withColumn("margin", vector_to_array("rawPrediction")[1])
             scored = platt.transform(margin.transform(scored)).withColumn(f"_p{k}", vector_to_array("q")[1])
-            out = scored.drop("features", "raw", "p", "guess", "margin", "margins", "qraw", "q", "qguess")
+            out = scored.drop("features", "rawPrediction", "probability", "guess", "margin", "margins", "qraw", "q", "qguess")
             parts.append(F.col(f"_p{k}"))
         mean: Column = sum(parts[1:], parts[0]) / len(parts)
         return out.withColumn("probability", mean).drop(*[f"_p{k}" for k in range(len(parts))])
