@@ -1,11 +1,10 @@
 """Fuzzy line dedup by MinHash of character shingles (operator 4, native).
 
 Lines are the parts of a text between line feeds, normalised by lower-casing and trimming.
-Equal lines are one node.  A line's set are its 10-character shingles that begin where a
-word does (shorter ones at its end); an edit changes those of its word and of one or two
-before it.  Each shingle is hashed once; the hash picks one of 32 bins, and a node's
-signature is the least hash of each bin (one-permutation MinHash, Li, Owen and Zhang,
-2012).  Eight bands of four bins find the candidates, exact
+Equal lines are one node.  A line's set are its 10-character shingles at every character; a
+shorter line is one.  Each shingle is hashed once; the hash picks one of 32 bins, and a
+node's signature is the least hash of each bin (one-permutation MinHash, Li, Owen and
+Zhang, 2012).  Eight bands of four bins find the candidates, exact
 Jaccard similarity on the shingle sets (at least 0.85) confirms them, distributed
 union-find makes components, and of each component the first line (by doc_id, then line
 number) stays.
@@ -40,20 +39,30 @@ def lines(docs: DataFrame) -> DataFrame:
     return texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def shingles(norm: Column) -> Column:
-    """The shingles of a normalised line, which is not empty: one for each word, repeats kept."""
-    return F.regexp_extract_all(F.concat(F.lit(" "), norm), F.lit(f"(?s) (?=(.{{1,{SHINGLE}}}))"), F.lit(1))
+def wide(norm: Column) -> Column:
+    """The text with four bytes for each character, so that a place in it is found without a walk."""
+    return F.encode(norm, "UTF-32")
+
+
+def starts(norm: Column) -> Column:
+    """The places (from 1) of its shingles: every character that has SHINGLE characters from it on, or the first."""
+    return F.sequence(F.lit(1), F.greatest(F.length(norm) - (SHINGLE - 1), F.lit(1)))
+
+
+def shingle(wide: Column, start: Column) -> Column:
+    return F.xxhash64(F.substring(wide, start * 4 - 3, F.lit(4 * SHINGLE)))
 
 
 def shingle_set(norm: Column) -> Column:
     """The distinct hashes of its shingles."""
-    return F.array_distinct(F.transform(shingles(norm), lambda x: F.xxhash64(x)))
+    return F.array_distinct(F.transform(starts(norm), lambda i: shingle(wide(norm), i)))
 
 
 def banded(nodes: DataFrame) -> DataFrame:
     """node and key of each band; nodes (node, norm) stay where they are partitioned by node."""
-    each = nodes.select("node", F.explode(shingles(F.col("norm"))).alias("shingle"))
-    hashed = each.select("node", F.xxhash64("shingle").alias("h"))
+    each = nodes.select("node", wide(F.col("norm")).alias("wide"), starts(F.col("norm")).alias("starts"))
+    each = each.select("node", "wide", F.explode("starts").alias("i"))
+    hashed = each.select("node", shingle(F.col("wide"), F.col("i")).alias("h"))
     bins = hashed.groupBy("node", F.pmod("h", F.lit(BANDS * ROWS)).alias("bin")).agg(F.min("h").alias("least"))
     keys = bins.groupBy("node", F.pmod("bin", F.lit(BANDS)).alias("band")).agg(F.bit_xor(F.xxhash64("bin", "least")).alias("key"))
     return keys.select("node", F.xxhash64("band", "key").alias("key"))
@@ -69,9 +78,9 @@ def components_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     asked = stage(members.select("node").distinct(), "nodes")
     few = asked.count() <= MOST_NODES
     texts = found.select("node", "norm").join(F.broadcast(asked) if few else asked, "node")
-    sets = stage(texts.groupBy("node").agg(F.first("norm").alias("norm")).select("node", shingle_set(F.col("norm")).alias("items")), "sets")
-    sizes = sets.select("node", F.size("items").alias("n"))
-    labels = nearlinks.link(members, sizes, lambda _: sets, NUM, DEN)
+    texts = stage(texts.groupBy("node").agg(F.first("norm").alias("items")), "texts", "zstd")
+    sizes = texts.select("node", F.size(shingle_set(F.col("items"))).alias("n"))
+    labels = nearlinks.link(members, stage(sizes, "sizes"), lambda _: texts, NUM, DEN, of=shingle_set)
     return found.select("doc_id", "line_no", "node"), labels
 
 

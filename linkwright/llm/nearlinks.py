@@ -35,17 +35,25 @@ def enough(both: Column, total: Column, num: int, den: int) -> Column:
     return (both > 0) & (den * both >= num * (total - both))
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b) with x and y, their sets, and both, the number of common elements; sets: node, items."""
+def itself(items: Column) -> Column:
+    return items
+
+
+def compared(pairs: DataFrame, sets: DataFrame, of=itself) -> DataFrame:
+    """pairs (a, b) with x and y, their sets, and both, the number of common elements; sets: node, items.
+
+    The set of a node is of(items), made after the joins, so that a short form travels.
+    """
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
     right = left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
+    right = right.withColumns({"x": of(F.col("x")), "y": of(F.col("y"))})
     return right.withColumn("both", F.size(F.array_intersect("x", "y")).cast("long"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, of=itself) -> DataFrame:
     """The pairs (a, b) whose sets are similar, exactly."""
     total = F.size("x").cast("long") + F.size("y").cast("long")
-    return compared(pairs, sets).where(enough(F.col("both"), total, num, den)).select("a", "b")
+    return compared(pairs, sets, of).where(enough(F.col("both"), total, num, den)).select("a", "b")
 
 
 def members(bands: DataFrame) -> DataFrame:
@@ -63,7 +71,7 @@ def hubs(found: DataFrame) -> DataFrame:
     return near.groupBy("node").agg(F.max("top").alias("top")).select(F.col("node").alias("a"), F.col("top.node").alias("b"))
 
 
-def leftovers(found, labels, sizes, sets, near, num: int, den: int, sketches=None, likely=None) -> DataFrame:
+def leftovers(found, labels, sizes, sets, near, num: int, den: int, sketches=None, likely=None, of=itself) -> DataFrame:
     """(a, b) pairs of different components that a bucket and the bounds of step 2 allow, once each.
 
     near: node, hub, inhub (elements that the hub has too), novel (the others).
@@ -77,7 +85,7 @@ def leftovers(found, labels, sizes, sets, near, num: int, den: int, sketches=Non
     open_ = stage(marked.join(mixed, "key"), "open")
     large = open_.where(F.col("size") > SMALL_BUCKET)
     crowd = large.select("node").distinct()
-    items = sets.join(crowd, "node").select("node", F.explode("items").alias("item"))
+    items = sets.join(crowd, "node").select("node", F.explode(of(F.col("items"))).alias("item"))
     twice = items.groupBy("item").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("item")
     shared = items.join(twice, "item").groupBy("node").agg(F.count("*").alias("s"))
     novel = near.join(crowd, "node").select("node", "hub", F.explode("novel").alias("item"))
@@ -123,21 +131,22 @@ def leftovers(found, labels, sizes, sets, near, num: int, den: int, sketches=Non
     return out
 
 
-def link(found: DataFrame, sizes: DataFrame, sets_of, num: int, den: int, sketches=None, likely=None) -> DataFrame:
+def link(found: DataFrame, sizes: DataFrame, sets_of, num: int, den: int, sketches=None, likely=None, of=itself) -> DataFrame:
     """Components (node, component) of the nodes that verified links connect.
 
     found: members(); sizes: node, n (elements); sets_of(nodes) gives node, items for
     the asked nodes, from a staged table.  With sketches (node, sig) the pairs of step 2
-    are dropped whose likely(sig, sig) is false: those that an estimate rules out.
+    are dropped whose likely(sig, sig) is false: those that an estimate rules out.  A
+    node's set is of(items).
     """
     sets = sets_of(found.select("node").distinct())
-    first = compared(hubs(found), sets)
+    first = compared(hubs(found), sets, of)
     near = stage(first.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.col("both").alias("inhub"), F.array_except("x", "y").alias("novel"), F.size("y").alias("hub_n")), "near")
     total = F.col("inhub") + F.size("novel") + F.col("hub_n")
     edges = stage(near.where(enough(F.col("inhub"), total, num, den)).select(F.col("node").alias("a"), F.col("hub").alias("b")), "links")
     labels = stage(components(edges), "labels")
-    rest = leftovers(found, labels, sizes, sets, near, num, den, sketches, likely)
-    more = stage(verified(rest, sets, num, den), "links")
+    rest = leftovers(found, labels, sizes, sets, near, num, den, sketches, likely, of)
+    more = stage(verified(rest, sets, num, den, of), "links")
     drop(near, rest)
     if more.isEmpty():
         return labels

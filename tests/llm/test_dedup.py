@@ -213,6 +213,24 @@ def test_lines_against_brute_force(spark):
     assert line_dedup.line_components(frame(spark, [])).count() == 0
 
 
+def every_shingle(text):
+    n = line_dedup.SHINGLE
+    return {text[i : i + n] for i in range(max(len(text) - n + 1, 1))}
+
+
+def test_line_ends_count(spark):
+    """Lines without spaces and long words that differ past their beginnings are other lines."""
+    cjk = "".join(chr(0x4E00 + i) for i in range(60))
+    texts = ["https://example.com/a", "https://example.org/totally/other", "see https://example.com/1", "see https://example.com/2"]
+    texts += [cjk[:30], cjk[:10] + cjk[30:50], "0123456789" + "ab" * 20, "0123456789" + "cd" * 20, cjk + "\U0001F600", cjk + "\U0001F601"]
+    got = line_dedup.line_components(frame(spark, list(enumerate(texts))))
+    kept = {r["doc_id"]: r["kept"] for r in got.collect()}
+    want = {}
+    for i, x in enumerate(map(every_shingle, texts)):
+        want[i] = not any(line_dedup.DEN * len(x & y) >= line_dedup.NUM * len(x | y) for y in map(every_shingle, texts[:i]))
+    assert kept == want and [i for i in want if not want[i]] == [3, 9]
+
+
 def test_query_columns(spark, tmp_path):
     frame(spark, AWKWARD).write.parquet(str(tmp_path / "documents.parquet"))
     row = substring_dedup.op2_substring_dedup(spark, str(tmp_path)).where("doc_id = 4").first()
