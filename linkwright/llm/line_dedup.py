@@ -1,15 +1,15 @@
 """Fuzzy line dedup by MinHash of character shingles (operator 4, native).
 
-Lines are the parts of a text between line feeds, normalised by lower-casing and trimming.
-Equal lines are one node.  A line's set are its 10-character shingles at every character; a
-shorter line is one.  Each shingle is hashed once; the hash picks one of 32 bins, and a
-node's signature is the least hash of each bin (one-permutation MinHash, Li, Owen and
-Zhang, 2012).  Eight bands of four bins find the candidates, exact
-Jaccard similarity on the shingle sets (at least 0.85) confirms them, distributed
-union-find makes components, and of each component the first line (by doc_id, then line
-number) stays.
-
-A pair at exactly 0.85 shares no band with probability 0.003; that is the recall of the
+Lines are the parts of a text between line feeds, normalised by lower-casing and
+collapsing white space. Equal lines are one node. A line's set are its 8-character
+shingles at every character; a shorter line is one. Each shingle is hashed once; the hash
+picks one of 40 bins, and a node's signature is the least hash of each bin (one-
+permutation MinHash, Li, Owen and Zhang, 2012). Ten bands of four bins find the
+candidates, exact Jaccard similarity on the shingle sets (at least 0.8) confirms them,
+distributed union-find makes components, and of each component the first line (by doc_id,
+then line number) stays.
+
+A pair at exactly 0.8 shares no band with probability 0.005; that is the recall of the
 method.  All operations are DataFrame operations.  Signatures are aggregated where the
 lines are, without a shuffle of shingles.
 """
@@ -22,15 +22,15 @@ from pyspark.sql import functions as F
 from linkwright.llm import nearlinks
 from linkwright.llm.common import stage, table
 
-SHINGLE = 10
-NUM, DEN = 85, 100
-BANDS, ROWS = 8, 4
+SHINGLE = 8
+NUM, DEN = 80, 100
+BANDS, ROWS = 10, 4
 #: Nodes with candidates that are broadcast at most (8 bytes each); beyond, a shuffle join.
 MOST_NODES = 1_000_000
 
 
 def normalised(line: Column) -> Column:
-    return F.btrim(F.lower(line), F.lit(" \t\r\x0b\x0c"))
+    return F.trim(F.regexp_replace(F.lower(line), r"[\s\x{0B}]+", " "))
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -55,7 +55,8 @@ def shingle(wide: Column, start: Column) -> Column:
 
 def shingle_set(norm: Column) -> Column:
     """The distinct hashes of its shingles."""
-    return F.array_distinct(F.transform(starts(norm), lambda i: shingle(wide(norm), i)))
+    each = F.transform(F.array(wide(norm)), lambda w: F.transform(starts(norm), lambda i: shingle(w, i)))  # encoded once
+    return F.array_distinct(each[0])
 
 
 def banded(nodes: DataFrame) -> DataFrame:

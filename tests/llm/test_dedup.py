@@ -231,6 +231,21 @@ def test_line_ends_count(spark):
     assert kept == want and [i for i in want if not want[i]] == [3, 9]
 
 
+def test_edited_lines_are_linked(spark):
+    """One edit in a line of a dozen words, pairs between 0.80 and 0.85, and other white space are no other line."""
+    rng = random.Random(4)
+    rows, alone = [], set()
+    for i in range(60):
+        w = ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(12)]
+        changed = w[:5] + ["x" + w[5][1:]] + w[6:]
+        rows += [(3 * i, " ".join(w)), (3 * i + 1, " ".join(changed)), (3 * i + 2, " \t ".join(w) + " ")]
+        alone.add(3 * i)
+    a, b = (every_shingle(t) for t in (rows[0][1], rows[1][1]))
+    assert 0.80 <= len(a & b) / len(a | b) < 0.85
+    got = line_dedup.line_components(frame(spark, rows))
+    assert {r["doc_id"] for r in got.where("kept").collect()} == alone
+
+
 def test_query_columns(spark, tmp_path):
     frame(spark, AWKWARD).write.parquet(str(tmp_path / "documents.parquet"))
     row = substring_dedup.op2_substring_dedup(spark, str(tmp_path)).where("doc_id = 4").first()
