@@ -18,7 +18,8 @@ from linkwright.sources import tables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: The sweep of the policy.
 THRESHOLDS = [0.75, 0.8, 0.85, 0.88]
-CAP = 20
+#: Candidates of a query, as many as the reference's job by parts and its blocker keep.
+CAP = blocking.DEFAULT_CAP
 #: Thresholds that suit the fixed scorer.
 POLICY = {"threshold": 0.93, "strong_threshold": 0.89, "min_margin": 0.05}
 
