@@ -196,6 +196,23 @@ def _doc_near_dup(spark, sf_dir):
 QUERIES["doc_near_dup"] = _doc_near_dup
 
 
+def _doc_near_dup_whole(spark, sf_dir):
+    """Pairs of documents of one language by TF-IDF of their whole texts, both ways, up to 30 candidates and all equal ones."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    whole = docs.select(
+        F.concat(F.lit("D-"), F.col("doc_id").cast("string")).alias("entity_id"),
+        F.coalesce("text", F.lit("")).alias("business_name"),
+        F.lit("").alias("business_address"),
+        F.col("lang").alias("country"),
+    )
+    v = normalized_views(whole).select("entity_id", "country", "name_clean", "name_compact")
+    rows = blocking.block_tfidf(v, v, 31).where("source1_entity_id <> candidate_entity_id")  # a document finds itself too
+    return rows.select("source1_entity_id", "candidate_entity_id", "country", "exact_name_match", _r("name_score"), "channel")
+
+
+QUERIES["doc_near_dup_whole"] = _doc_near_dup_whole
+
+
 # ---- pairs
 
 
