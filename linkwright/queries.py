@@ -175,6 +175,26 @@ def block_tfidf_topk(r):
     return rows.select("source1_entity_id", "candidate_entity_id", "country", "exact_name_match", _r("name_score"), "tfidf_rank", "channel")
 
 
+def _by_source(r, find):
+    """find(queries, targets, source) of either table, one after the other."""
+    q = normalized_views(r.s1)
+    return find(q, normalized_views(r.s2), "S2").unionByName(find(q, normalized_views(r.s3), "S3"))
+
+
+@query
+def block_inverted_sources(r):
+    return _by_source(r, blocking.block_inverted)
+
+
+@query
+def block_tfidf_sources(r):
+    def find(q, t, source):
+        rows = blocking.block_tfidf(q, t).withColumn("candidate_source", F.lit(source))
+        return rows.select("source1_entity_id", "candidate_entity_id", "candidate_source", "country", "exact_name_match", _r("name_score"), "tfidf_rank", "channel")
+
+    return _by_source(r, find)
+
+
 def _documents_as_records(spark, sf_dir):
     words = T.tokens(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\s]+", " "))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
