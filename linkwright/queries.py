@@ -17,7 +17,7 @@ from linkwright.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: The sweep of the policy.
-THRESHOLDS = [0.75, 0.8, 0.85, 0.88]
+THRESHOLDS = [0.75, 0.8, 0.85, 0.88, 0.9, 0.92, 0.94, 0.96]
 #: Candidates of a query, as many as the reference's job by parts and its blocker keep.
 CAP = blocking.DEFAULT_CAP
 #: Thresholds that suit the fixed scorer.
@@ -311,6 +311,12 @@ def best_threshold(r):
     return evaluate.best_threshold(rows, 0.5)
 
 
+@query
+def best_threshold_99(r):
+    """The first threshold at the reference's precision of 0.99; null if none reaches it."""
+    return evaluate.best_threshold(decide_sweep(r))
+
+
 # ---- results
 
 
