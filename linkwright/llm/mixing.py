@@ -12,6 +12,8 @@ leaf: tokens are summed by the leading hex digits of the order key, and only doc
 under the digits where the budget ends are looked at again, until few are left.
 
 All operations are DataFrame operations.  Budgets are whole tokens, rounded down.
+A token here is a word between white space, so that the same count can be had from SQL; it is
+not a token of a tokenizer (op10): a long text without spaces counts as one.
 """
 
 from __future__ import annotations
