@@ -462,6 +462,6 @@ def gbt_scores(r):
     rows, folds_ = _features(r).cache(), _folds(r)
     pairs = evaluate.truth_pairs(r.truth)
     labelled = split.training_pairs(rows, pairs, folds_)
-    matcher = model.EntityMatcher(trees=4, rate=0.5, depth=3).fit(labelled)
+    matcher = model.EntityMatcher().fit(labelled)
     held = rows.join(folds_.where("fold = 0").select("source1_entity_id"), "source1_entity_id", "left_semi")
     return matcher.predict(held).select(*_pair("probability"))
