@@ -2,16 +2,18 @@
 
 Lines are the parts of a text between line feeds, normalised by lower-casing and
 collapsing white space. Equal lines are one node. A line's set are its 8-character
-shingles at every character; a shorter line is one. Each shingle is hashed once; the hash
-picks one of 40 bins, and a node's signature is the least hash of each bin (one-
-permutation MinHash, Li, Owen and Zhang, 2012). Ten bands of four bins find the
+shingles at every character; a shorter line is one. Each shingle is hashed once, and the
+range of hashes is cut into ten equal parts (one-permutation MinHash, Li, Owen and Zhang,
+2012): the four least hashes of a part make the key of one band. Bands find the
 candidates, exact Jaccard similarity on the shingle sets (at least 0.8) confirms them,
 distributed union-find makes components, and of each component the first line (by doc_id,
 then line number) stays.
 
 A pair at exactly 0.8 shares no band with probability 0.005; that is the recall of the
-method.  All operations are DataFrame operations.  Signatures are aggregated where the
-lines are, without a shuffle of shingles.
+method.  All operations are DataFrame operations.  A line's hashes are an array of its
+own row, sorted together with the ends of the parts, so that its keys need no shuffle and
+no aggregation: only keys travel.  That array takes some 40 bytes for each character of
+the line.  Lines are the same line if two 64-bit fingerprints are equal.
 """
 
 from __future__ import annotations
@@ -20,69 +22,81 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.llm import nearlinks
-from linkwright.llm.common import stage, table
+from linkwright.llm.common import drop, stage, table
 
 SHINGLE = 8
 NUM, DEN = 80, 100
 BANDS, ROWS = 10, 4
+#: Where the parts of the hashes begin.
+ENDS = [(1 << 64) * band // BANDS - (1 << 63) for band in range(BANDS)]
+#: White space other than one space alone, on one line.
+SPACE = r"[\t\x0B\f\r][ \t\x0B\f\r]*| [ \t\x0B\f\r]+"
 #: Nodes with candidates that are broadcast at most (8 bytes each); beyond, a shuffle join.
 MOST_NODES = 1_000_000
 
 
-def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[\s\x{0B}]+", " "))
-
-
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 0), line."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    """doc_id, line_no (from 0) and norm, the normalised line, of lines that are not blank."""
+    text = F.regexp_replace(F.lower(F.col("text").cast("string")), SPACE, " ")
+    parts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    return parts.select("doc_id", "line_no", F.trim("line").alias("norm")).where("norm <> ''")
 
 
-def wide(norm: Column) -> Column:
-    """The text with four bytes for each character, so that a place in it is found without a walk."""
-    return F.encode(norm, "UTF-32")
+def node(norm: Column) -> Column:
+    return F.xxhash64(norm)
 
 
-def starts(norm: Column) -> Column:
-    """The places (from 1) of its shingles: every character that has SHINGLE characters from it on, or the first."""
-    return F.sequence(F.lit(1), F.greatest(F.length(norm) - (SHINGLE - 1), F.lit(1)))
+def check(norm: Column) -> Column:
+    """A second fingerprint; the number before the line seeds it."""
+    return F.xxhash64(F.lit(BANDS), norm)
 
 
-def shingle(wide: Column, start: Column) -> Column:
-    return F.xxhash64(F.substring(wide, start * 4 - 3, F.lit(4 * SHINGLE)))
+def hashes(norm: Column) -> Column:
+    """The hash of each shingle, in their order: SHINGLE characters from every character on, or the whole line.
+
+    A character takes four bytes, so that its place is found without a walk.
+    """
+    begins = F.sequence(F.lit(1), F.greatest(F.length(norm) * 4 - (4 * SHINGLE - 1), F.lit(1)), F.lit(4))
+    wide = F.array(F.encode(norm, "UTF-32"))  # encoded once
+    return F.transform(wide, lambda w: F.transform(begins, lambda i: F.xxhash64(F.substring(w, i, F.lit(4 * SHINGLE)))))[0]
 
 
 def shingle_set(norm: Column) -> Column:
     """The distinct hashes of its shingles."""
-    each = F.transform(F.array(wide(norm)), lambda w: F.transform(starts(norm), lambda i: shingle(w, i)))  # encoded once
-    return F.array_distinct(each[0])
+    return F.array_distinct(hashes(norm))
 
 
-def banded(nodes: DataFrame) -> DataFrame:
-    """node and key of each band; nodes (node, norm) stay where they are partitioned by node."""
-    each = nodes.select("node", wide(F.col("norm")).alias("wide"), starts(F.col("norm")).alias("starts"))
-    each = each.select("node", "wide", F.explode("starts").alias("i"))
-    hashed = each.select("node", shingle(F.col("wide"), F.col("i")).alias("h"))
-    bins = hashed.groupBy("node", F.pmod("h", F.lit(BANDS * ROWS)).alias("bin")).agg(F.min("h").alias("least"))
-    keys = bins.groupBy("node", F.pmod("bin", F.lit(BANDS)).alias("band")).agg(F.bit_xor(F.xxhash64("bin", "least")).alias("key"))
-    return keys.select("node", F.xxhash64("band", "key").alias("key"))
+def signed(found: DataFrame) -> DataFrame:
+    """doc_id, line_no, node, check and keys, a key for each band that has a hash; found: lines()."""
+    ends = F.array(*[F.lit(e).cast("long") for e in ENDS])
+    own = found.select("doc_id", "line_no", node(F.col("norm")).alias("node"), check(F.col("norm")).alias("check"), hashes(F.col("norm")).alias("h"))
+    own = own.withColumn("h", F.sort_array(F.array_union("h", ends)))
+    at = F.array(*[F.array_position("h", F.lit(e).cast("long")).cast("int") for e in ENDS], F.size("h") + 1)
+
+    def key(band: Column) -> Column:
+        begin, n = F.get("at", band), F.get("at", band + 1) - F.get("at", band) - 1
+        return F.when(n > 0, F.xxhash64(band, F.slice("h", begin + 1, F.least(n, F.lit(ROWS)))))
+
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), key)
+    return own.withColumn("at", at).select("doc_id", "line_no", "node", "check", F.filter(keys, lambda k: k.isNotNull()).alias("keys"))
 
 
 def components_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The lines as (doc_id, line_no, node), and (node, component) of nodes that are linked."""
-    found = lines(docs).select("doc_id", "line_no", normalised(F.col("line")).alias("norm")).where("norm <> ''")
-    found = stage(found.select("doc_id", "line_no", F.xxhash64("norm").alias("node"), "norm"), "lines", "zstd")
-    nodes = found.groupBy("node").agg(F.first("norm").alias("norm"))
-    bands = stage(banded(nodes), "bands")
-    members = stage(nearlinks.members(bands), "members")
-    asked = stage(members.select("node").distinct(), "nodes")
+    """The lines as (doc_id, line_no, node, check), and (node, check, component) of nodes that are linked."""
+    known = stage(signed(lines(docs)), "lines")
+    nodes = stage(known.select("node", "keys").dropDuplicates(["node"]), "nodes")
+    members = stage(nearlinks.members(nodes.select("node", F.explode("keys").alias("key"))), "members")
+    drop(nodes)
+    asked = stage(members.select("node").distinct(), "asked")
     few = asked.count() <= MOST_NODES
-    texts = found.select("node", "norm").join(F.broadcast(asked) if few else asked, "node")
-    texts = stage(texts.groupBy("node").agg(F.first("norm").alias("items")), "texts", "zstd")
-    sizes = texts.select("node", F.size(shingle_set(F.col("items"))).alias("n"))
-    labels = nearlinks.link(members, stage(sizes, "sizes"), lambda _: texts, NUM, DEN, of=shingle_set)
-    return found.select("doc_id", "line_no", "node"), labels
+    own = lines(docs).select(node(F.col("norm")).alias("node"), check(F.col("norm")).alias("check"), "norm")
+    own = own.join(F.broadcast(asked) if few else asked, "node")
+    # of different lines with one fingerprint the one with the least check stands for the node
+    texts = stage(own.groupBy("node").agg(F.min(F.struct("check", "norm")).alias("m")).select("node", "m.check", F.col("m.norm").alias("items")), "texts", "zstd")
+    linked = nearlinks.link(members, lambda _: texts.select("node", "items"), NUM, DEN, of=shingle_set, exact=True)
+    labels = stage(linked.join(texts.select("node", "check"), "node"), "labels")
+    drop(members, asked, texts)
+    return known.select("doc_id", "line_no", "node", "check"), labels
 
 
 def line_components(docs: DataFrame) -> DataFrame:
@@ -95,11 +109,13 @@ def line_components(docs: DataFrame) -> DataFrame:
     """
     found, labels = components_of(docs)
     place = F.struct("doc_id", "line_no")
-    first = found.groupBy("node").agg(F.min(place).alias("place"))
-    rooted = first.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = found.groupBy("node", "check").agg(F.min(place).alias("place"))
+    linked = F.when(F.col("component").isNotNull(), F.struct(F.col("component").alias("node"), F.lit(0).cast("long").alias("check")))
+    alone = F.struct("node", "check")
+    rooted = first.join(labels, ["node", "check"], "left").withColumn("component", F.coalesce(linked, alone))
     least = rooted.groupBy("component").agg(F.min("place").alias("least"))
-    named = rooted.join(least, "component").select("node", F.col("least.doc_id").alias("first_doc"), F.col("least.line_no").alias("first_line"))
-    out = found.join(named, "node")
+    named = rooted.join(least, "component").select("node", "check", F.col("least.doc_id").alias("first_doc"), F.col("least.line_no").alias("first_line"))
+    out = found.join(named, ["node", "check"])
     kept = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
     return out.select("doc_id", "line_no", "first_doc", "first_line", kept.alias("kept"))
 
@@ -115,10 +131,16 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """For each document with lines: their number, how many go, and which (numbers, in order)."""
-    found = line_components(table(spark, sf_dir, "documents"))
-    return found.groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"),
+    """For each doc_id: the number of lines that are not blank, how many go, and which (numbers, in order).
+
+    A document without such lines, its text null or empty, has none; rows that repeat a
+    doc_id count together, as do rows without one.
+    """
+    docs = table(spark, sf_dir, "documents")
+    found = line_components(docs).select("doc_id", "line_no", "kept")
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("int").alias("line_no"), F.lit(None).cast("boolean").alias("kept"))
+    return found.unionByName(every).groupBy("doc_id").agg(
+        F.count("line_no").alias("n_lines"),
         F.count_if(~F.col("kept")).alias("n_removed"),
         F.array_join(F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line_no")))), ",").alias("removed_lines"),
     )

@@ -184,7 +184,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     labels = nearlinks.link(
         found,
-        holders.select("node", "n"),
         lambda asked: stage(sets_of(docs, holders.select("node", "doc_id"), asked), "sets"),
         NUM,
         DEN,

@@ -71,18 +71,17 @@ def hubs(found: DataFrame) -> DataFrame:
     return near.groupBy("node").agg(F.max("top").alias("top")).select(F.col("node").alias("a"), F.col("top.node").alias("b"))
 
 
-def leftovers(found, labels, sizes, sets, near, num: int, den: int, sketches=None, likely=None, of=itself) -> DataFrame:
+def leftovers(found, labels, sets, near, num: int, den: int, sketches=None, likely=None, of=itself) -> DataFrame:
     """(a, b) pairs of different components that a bucket and the bounds of step 2 allow, once each.
 
-    near: node, hub, inhub (elements that the hub has too), novel (the others).
+    near: node, hub, inhub (elements that the hub has too), novel (the others), and lacks (the hub's
+    others), if pairs with one hub are to be compared exactly, by these differences, before they are made.
     """
-    marked = (
-        found.join(labels.select("node", F.col("component").alias("c")), "node", "left")
-        .withColumn("c", F.coalesce("c", "node"))
-        .join(sizes, "node")
-    )
+    marked = found.join(labels.select("node", F.col("component").alias("c")), "node", "left").withColumn("c", F.coalesce("c", "node"))
     mixed = marked.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-    open_ = stage(marked.join(mixed, "key"), "open")
+    left = stage(marked.join(mixed, "key"), "left")
+    sizes = sets.join(left.select("node").distinct(), "node").select("node", F.size(of(F.col("items"))).alias("n"))
+    open_ = stage(left.join(sizes, "node"), "open")
     large = open_.where(F.col("size") > SMALL_BUCKET)
     crowd = large.select("node").distinct()
     items = sets.join(crowd, "node").select("node", F.explode(of(F.col("items"))).alias("item"))
@@ -104,10 +103,13 @@ def leftovers(found, labels, sizes, sets, near, num: int, den: int, sketches=Non
         F.coalesce("inhub", F.col("n").cast("long")).alias("inhub"),
         F.coalesce("sn", F.lit(0)).cast("long").alias("sn"),
     )
+    exact = "lacks" in near.columns
+    if exact:
+        fit = fit.join(near.select("node", "novel", "lacks"), "node", "left")
     n = F.col("n").cast("long")
     small = open_.where(F.col("size") <= SMALL_BUCKET)
     small = small.select("key", "node", "c", "n", n.alias("s"), F.col("node").alias("hub"), n.alias("inhub"), F.lit(0).cast("long").alias("sn"))
-    rows = small.unionByName(fit)
+    rows = small.unionByName(fit, allowMissingColumns=True)
     keys = rows.groupBy("node").agg(F.collect_set("key").alias("keys"))  # as many as there are bands at most
     rows = rows.join(keys, "node")
     rows = stage(rows if sketches is None else rows.join(sketches, "node"), "fit")
@@ -116,6 +118,13 @@ def leftovers(found, labels, sizes, sets, near, num: int, den: int, sketches=Non
     most = F.least("x.s", "y.s")
     by_hub = F.least("x.inhub", "y.inhub") + F.least("x.sn", "y.sn")
     most = F.when(F.col("x.hub") == F.col("y.hub"), F.least(most, by_hub)).otherwise(most)
+
+    def similar() -> Column:
+        """For two nodes of one hub, whose elements are the hub's without lacks and with novel; rows of small buckets have none."""
+        inhub = F.col("x.inhub") - F.size("y.lacks") + F.size(F.array_intersect("x.lacks", "y.lacks"))
+        both = inhub + F.size(F.array_intersect("x.novel", "y.novel"))
+        return F.coalesce((F.col("x.hub") != F.col("y.hub")) | enough(both, total, num, den), F.lit(True))
+
     pairs = x.join(
         y,
         (F.col("x.key") == F.col("y.key"))
@@ -124,30 +133,43 @@ def leftovers(found, labels, sizes, sets, near, num: int, den: int, sketches=Non
         & (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num)
         & (most * (num + den) >= total * num)
         & (F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key"))
-        & (F.lit(True) if likely is None else likely(F.col("x.sig"), F.col("y.sig"))),
+        & (F.lit(True) if likely is None else likely(F.col("x.sig"), F.col("y.sig")))
+        & (similar() if exact else F.lit(True)),
     )
     out = stage(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "pairs")
-    drop(open_, rows)
+    drop(left, open_, rows)
     return out
 
 
-def link(found: DataFrame, sizes: DataFrame, sets_of, num: int, den: int, sketches=None, likely=None, of=itself) -> DataFrame:
+def merged(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """Components of what labels (node, component) and the pairs more (a, b) connect: only components are linked again."""
+    ends = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left")
+    ends = ends.select("node", F.coalesce("component", "node").alias("component"))
+    a, b = ends.select(F.col("node").alias("a"), F.col("component").alias("x")), ends.select(F.col("node").alias("b"), F.col("component").alias("y"))
+    roots = components(more.join(a, "a").join(b, "b").select("x", "y"), "x", "y").select(F.col("node").alias("component"), F.col("component").alias("root"))
+    every = labels.unionByName(ends).distinct()
+    return every.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+
+
+def link(found: DataFrame, sets_of, num: int, den: int, sketches=None, likely=None, of=itself, exact: bool = False) -> DataFrame:
     """Components (node, component) of the nodes that verified links connect.
 
-    found: members(); sizes: node, n (elements); sets_of(nodes) gives node, items for
-    the asked nodes, from a staged table.  With sketches (node, sig) the pairs of step 2
-    are dropped whose likely(sig, sig) is false: those that an estimate rules out.  A
-    node's set is of(items).
+    found: members(); sets_of(nodes) gives node, items for the asked nodes, from a staged
+    table.  With sketches (node, sig) the pairs of step 2 are dropped whose
+    likely(sig, sig) is false: those that an estimate rules out.  A node's set is
+    of(items).  With exact, pairs of step 2 with one hub are compared by what sets them
+    apart from it, in the join itself.
     """
     sets = sets_of(found.select("node").distinct())
     first = compared(hubs(found), sets, of)
-    near = stage(first.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.col("both").alias("inhub"), F.array_except("x", "y").alias("novel"), F.size("y").alias("hub_n")), "near")
+    apart = [F.array_except("x", "y").alias("novel"), *([F.array_except("y", "x").alias("lacks")] if exact else [])]
+    near = stage(first.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.col("both").alias("inhub"), *apart, F.size("y").alias("hub_n")), "near")
     total = F.col("inhub") + F.size("novel") + F.col("hub_n")
     edges = stage(near.where(enough(F.col("inhub"), total, num, den)).select(F.col("node").alias("a"), F.col("hub").alias("b")), "links")
     labels = stage(components(edges), "labels")
-    rest = leftovers(found, labels, sizes, sets, near, num, den, sketches, likely, of)
+    rest = leftovers(found, labels, sets, near, num, den, sketches, likely, of)
     more = stage(verified(rest, sets, num, den, of), "links")
-    drop(near, rest)
+    drop(edges, near, rest)
     if more.isEmpty():
         return labels
-    return components(edges.unionByName(more))
+    return merged(labels, more)

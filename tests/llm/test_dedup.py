@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -158,22 +159,20 @@ def test_leftover_pairs_are_found(spark, monkeypatch):
     items = {1: range(100), 2: range(0, 97), 3: [*range(60), *range(200, 240)], 4: [*range(60), *range(200, 239)]}
     sets = spark.createDataFrame([(k, list(v)) for k, v in items.items()], "node long, items array<long>").cache()
     bands = spark.createDataFrame([(77, k) for k in items] + [(78, 1), (78, 2)], "key long, node long")
-    for small in (16, 1):
+    for small, exact in ((16, False), (1, False), (16, True), (1, True)):
         monkeypatch.setattr(nearlinks, "SMALL_BUCKET", small)
-        labels = nearlinks.link(
-            nearlinks.members(bands), sets.select("node", F.size("items").alias("n")), lambda _: sets, 75, 100
-        )
+        labels = nearlinks.link(nearlinks.members(bands), lambda _: sets, 75, 100, exact=exact)
         assert {r["node"]: r["component"] for r in labels.collect()} == {1: 1, 2: 1, 3: 3, 4: 3}
 
 
 def plain_lines(rows):
+    """Lines by the method's own words: 8-character shingles at every character of the lower-cased line with white space collapsed."""
     lines, out = [], []
     for doc, text in rows:
-        for n, line in enumerate((text or "").split("\n") if text is not None else []):
-            norm = line.lower().strip(" \t\r\x0b\x0c")
+        for n, line in enumerate(text.split("\n") if text is not None else []):
+            norm = re.sub(r"[ \t\r\x0b\x0c]+", " ", line.lower()).strip(" ")
             if norm:
-                padded = " " + norm
-                lines.append((doc, n, frozenset(padded[i + 1 : i + 11] for i, c in enumerate(padded) if c == " " and padded[i + 1 : i + 2])))
+                lines.append((doc, n, frozenset(norm[i : i + 8] for i in range(max(len(norm) - 7, 1)))))
     root = list(range(len(lines)))
 
     def find(x):
@@ -184,7 +183,7 @@ def plain_lines(rows):
     for i, (_, _, a) in enumerate(lines):
         for j in range(i):
             b = lines[j][2]
-            if 100 * len(a & b) >= 85 * len(a | b):
+            if 100 * len(a & b) >= 80 * len(a | b):
                 x, y = sorted((find(i), find(j)))
                 root[y] = x
     first = {}
@@ -197,13 +196,16 @@ def test_lines_against_brute_force(spark):
     rng = random.Random(11)
     base = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(1000)) for _ in range(30)) for _ in range(6)]
     rows = [(1, None), (2, ""), (3, "\n \n"), (4, "short"), (5, "Short \n\nshort"), (6, "long " * 3000)]
+    cjk = "".join(chr(0x4E00 + i) for i in range(90))
+    rows += [(7, f"{cjk}\n{cjk[:50]}\n{cjk[:1] + cjk}\r\n\t{cjk[:10]}\t{cjk[10:]}"), (8, "x" * 100 + "\n" + "x" * 101 + "\n" + "xy" * 50)]
+    rows += [(9, "https://example.com/a/first\nhttps://example.com/zzz/quite-another\ntransaction-000001\ntransaction-999999\ntab\tone  two\x0bthree\ntab one two three")]
     for i in range(40):
         lines = []
         for _ in range(rng.randrange(1, 4)):
             w = rng.choice(base).split()
             if rng.random() < 0.5:
                 w[rng.randrange(30)] = "Changed"
-            lines.append(" ".join(w))
+            lines.append(rng.choice([" ", " ", "  ", ""]).join(w))
         rows.append((10 + i, "\n".join(lines)))
     docs = frame(spark, rows).withColumn("node", F.lit(1)).withColumn("line", F.lit("clash"))
     got = line_dedup.line_components(docs)
@@ -213,6 +215,20 @@ def test_lines_against_brute_force(spark):
     assert line_dedup.line_components(frame(spark, [])).count() == 0
 
 
+def test_line_query_has_every_document(spark, tmp_path):
+    rows = [(1, None), (2, " \n"), (3, "same line\nother one"), (4, "same line"), (4, "same line"), (None, "x"), (None, None)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, line_dedup.op4_line_dedup(spark, str(tmp_path)).collect()), key=str)
+    assert got == [(1, 0, 0, ""), (2, 0, 0, ""), (3, 2, 0, ""), (4, 2, 2, "0,0"), (None, 1, 0, "")]
+
+
+def test_lines_of_one_fingerprint(spark, monkeypatch):
+    """Different lines stay two even if their first fingerprints are equal."""
+    monkeypatch.setattr(line_dedup, "node", lambda norm: F.length(norm).cast("long"))
+    got = line_dedup.line_components(frame(spark, [(1, "abcdefghij"), (2, "0123456789"), (3, "abcdefghij"), (4, "another")]))
+    assert {r["doc_id"]: r["kept"] for r in got.collect()} == {1: True, 2: True, 3: False, 4: True}
+
+
 def every_shingle(text):
     n = line_dedup.SHINGLE
     return {text[i : i + n] for i in range(max(len(text) - n + 1, 1))}
