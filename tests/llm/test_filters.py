@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -95,6 +96,40 @@ def test_trees_learn_what_rules_say(spark):
     assert again == {r["page_id"]: r["verdict"] for r in got}
 
 
+def plain_verdict(known, trees, url):
+    """Host, path, rule and verdict of one url, a rule and a tree at a time."""
+    rest = url.split("://", 1)[1] if url is not None and "://" in url else ""
+    host = re.split("[/?#]", rest)[0]
+    path = re.split("[?#]", rest[len(host) :])[0]
+    host = lower(host)
+    best = None
+    for act, h, p in url_filter.RULES:
+        if (host == h or host.endswith("." + h)) and path.startswith(p) and (best is None or len(h + p) > len(best[1])):
+            best = act, h + p
+    if best:
+        return host, path, best[1], best[0]
+    x, score = known.features(url), trees.base
+    for feature, cut, value in trees.trees:
+        node = 0
+        while 2 * node + 2 < len(feature) and feature[node] >= 0:
+            node = 2 * node + 1 + (x[feature[node]] > cut[node])
+        score += value[node]
+    return host, path, None, "block" if score >= 0 else "allow"
+
+
+def test_verdicts_against_one_at_a_time(spark):
+    rng = random.Random(16)
+    hosts = ["a.example.com", "example.com", "www.example.com", "WWW.Example.com", "x.net", "net", "y.org", "z.io:80", "com", ""]
+    urls = [f"{rng.choice(['http', 'https', 'ftp'])}://{rng.choice(hosts)}{rng.choice(['', '/', '/en/', '/es/', '/fr/x', '/q'])}{rng.choice(['', '?a=1&b', '#f', '/9'])}" for _ in range(1500)]
+    urls += [None, "", "no scheme", "://", "a://b://c.com/", "http://é.com/漢/" + "x" * 5000]
+    pages = spark.createDataFrame(list(enumerate(urls)) + [(3, urls[3])], "page_id long, url string")
+    known, trees = url_filter.fitted(url_filter.ruled(url_filter.located(pages)).where("action is not null"))
+    got = url_filter.judged(pages).collect()
+    assert len(got) == len(urls) + 1
+    for r in got:
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == plain_verdict(known, trees, urls[r["page_id"]])
+
+
 def test_pages_without_labels(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x"), (2, None)], "page_id long, url string")
     assert [r["verdict"] for r in url_filter.judged(pages).collect()] == ["allow", "allow"]
@@ -119,13 +154,81 @@ def plain_marginals(model, odds, first):
 
 def test_marginals_against_enumeration():
     rng = np.random.default_rng(0)
-    model = toxicity.Crf(weights=rng.normal(0, 1, toxicity.BUCKETS), bias=-0.5, move=rng.normal(0, 1, (2, 2)), start=rng.normal(0, 1, 2))
+    model = toxicity.Crf(weights=rng.normal(0, 1, (toxicity.KINDS, toxicity.BUCKETS)), bias=-0.5, move=rng.normal(0, 1, (2, 2)), start=rng.normal(0, 1, 2))
     f = rng.integers(0, toxicity.BUCKETS, (23, 4))
     first = np.array([0, 1, 9, 14])
     got = model.marginals(f, first)
     assert got == pytest.approx(plain_marginals(model, model.odds(f), first.tolist()), abs=1e-9)
 
 
+def plain_likelihood(model, f, y, first):
+    """Log-likelihood of the labels y, summed over all labellings of each text, less the prior."""
+    odds, value = model.odds(f), 0.0
+    for i, j in zip(first, [*first[1:], len(f)]):
+        scores = {}
+        for code in range(1 << (j - i)):
+            s = tuple(code >> k & 1 for k in range(j - i))
+            scores[s] = model.start[s[0]] + sum(odds[i + k] * v for k, v in enumerate(s)) + sum(model.move[a, b] for a, b in zip(s, s[1:]))
+        value += scores[tuple(y[i:j].tolist())] - np.log(sum(np.exp(v) for v in scores.values()))
+    used = sum((model.weights[k][np.unique(f[:, k])] ** 2).sum() for k in range(toxicity.KINDS))
+    return value - toxicity.SHRINK / 2 * (used + (model.move**2).sum() + (model.start**2).sum())
+
+
+def test_fit_is_the_likeliest(monkeypatch):
+    monkeypatch.setattr(toxicity, "DROPPED", 0)
+    rng = np.random.default_rng(2)
+    f = rng.integers(0, 6, (40, 4)).astype(np.int32)
+    y = ((f[:, 0] < 2) ^ (rng.random(40) < 0.2)).astype(np.int64)
+    first = np.arange(0, 40, 5)
+    known = np.zeros((toxicity.KINDS, toxicity.BUCKETS), dtype=bool)
+    known[:, :6] = True
+    model = toxicity.Crf().fit([(f, y, first)], known)
+    best = plain_likelihood(model, f, y, first.tolist())
+    for _ in range(40):
+        other = toxicity.Crf(model.weights.copy(), model.bias + rng.normal(0, 0.05), model.move + rng.normal(0, 0.05, (2, 2)), model.start + rng.normal(0, 0.05, 2))
+        other.weights[:, :6] += rng.normal(0, 0.05, (toxicity.KINDS, 6))
+        assert plain_likelihood(other, f, y, first.tolist()) < best
+
+
+def test_scores_against_enumeration(spark):
+    """Scores and spans of short texts from the model's weights alone, by sums over all labellings."""
+    rows, labels = toxic_rows(300)
+    marked = frame(spark, labels, "doc_id long, quality int, toxic int")
+    docs = rows + [(5000 + i, t) for i, t in enumerate([None, "", "...", "vileword", "hus talen snargh, mor VILEWORD end", "new words only, here", "Grimbold grimble unheard"])]
+    table = frame(spark, docs)
+    model = toxicity.fitted(table, marked)
+    got = {r["doc_id"]: r for r in toxicity.scored(table, marked).collect()}
+    for i, text in docs[-7:]:
+        w = ALNUM.findall(lower(text))
+        p = []
+        if w:
+            (f, *_), = toxicity._prepared([text], np.zeros(1, dtype=np.int64))
+            assert len(f) == len(w)
+            odds = [sum(float(model.weights[k][f[t, k]]) for k in range(toxicity.KINDS)) + model.bias for t in range(len(w))]
+            p = plain_marginals(model, np.clip(odds, -30, 30), [0])
+        top = min(max(max(p), 1e-6), 1 - 1e-6) if p else None
+        x = [np.log(top / (1 - top)) if p else -12, np.log(sum(q for q in p if q > 1e-3) + 1e-3) if p else -7, np.log1p(len(w))]
+        want = 1 / (1 + np.exp(-np.clip(np.dot(x, model.slopes) + model.offset, -30, 30)))
+        assert got[i]["score"] == pytest.approx(want, abs=1e-6)
+        assert [k for s in got[i]["spans"] for k in range(s["first"], s["last"] + 1)] == [k for k, q in enumerate(p) if q > 0.5]
+
+
+def test_unseen_words_are_clean(spark):
+    """Words that the fit has not seen don't make a clean document toxic."""
+    rng = random.Random(12)
+    rows, labels = toxic_rows(600)
+    marked = frame(spark, labels, "doc_id long, quality int, toxic int")
+    fresh = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10)))
+    more = [(10_000 + i, t + " " + " ".join(fresh() for _ in range(n))) for (i, t), (_, _, y) in zip(rows, labels) if not y for n in (1, 5)]
+    got = toxicity.scored(frame(spark, rows + [(d + 10_000 * k, t) for k, (d, t) in enumerate(more)]), marked).where("doc_id >= 10000").collect()
+    assert len(got) == len(more) and sum(r["score"] >= toxicity.THRESHOLD for r in got) <= 0.02 * len(got)
+
+
+def test_copies_count_once():
+    text = words(60)
+    assert toxicity._alone([text, text + " end", words(60, 500), "", "a b", "a b", text]).tolist() == [True, False, True, True, True, False, False]
+
+
 def toxic_rows(n=600, seed=1):
     rng = random.Random(seed)
     rows, labels = [], []
