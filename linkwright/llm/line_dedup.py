@@ -108,16 +108,25 @@ def line_components(docs: DataFrame) -> DataFrame:
     doc_id come first.  An empty table gives an empty result; other columns are ignored.
     """
     found, labels = components_of(docs)
-    place = F.struct("doc_id", "line_no")
-    first = found.groupBy("node", "check").agg(F.min(place).alias("place"))
+    by = ["node", "check"]
+    times = found.groupBy(*by).agg(F.count("*").alias("n")).join(labels, by, "left")
+    many = stage(times.where("n > 1 or component is not null").drop("n"), "many")  # the other lines have no equals
+    first = found.join(many, by).groupBy(*by, "component").agg(F.min(F.struct("doc_id", "line_no")).alias("place"))
     linked = F.when(F.col("component").isNotNull(), F.struct(F.col("component").alias("node"), F.lit(0).cast("long").alias("check")))
-    alone = F.struct("node", "check")
-    rooted = first.join(labels, ["node", "check"], "left").withColumn("component", F.coalesce(linked, alone))
+    rooted = first.withColumn("component", F.coalesce(linked, F.struct(*by)))
     least = rooted.groupBy("component").agg(F.min("place").alias("least"))
-    named = rooted.join(least, "component").select("node", "check", F.col("least.doc_id").alias("first_doc"), F.col("least.line_no").alias("first_line"))
-    out = found.join(named, ["node", "check"])
-    kept = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
-    return out.select("doc_id", "line_no", "first_doc", "first_line", kept.alias("kept"))
+    named = stage(rooted.join(least, "component").select(*by, F.col("least.doc_id").alias("d"), F.col("least.line_no").alias("l")), "named")
+    drop(many)
+    own = F.col("l").isNull()
+    out = found.join(named, by, "left")
+    kept = own | (F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")))
+    return out.select(
+        "doc_id",
+        "line_no",
+        F.when(own, F.col("doc_id")).otherwise(F.col("d")).alias("first_doc"),
+        F.when(own, F.col("line_no")).otherwise(F.col("l")).alias("first_line"),
+        kept.alias("kept"),
+    )
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
@@ -138,9 +147,9 @@ def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     """
     docs = table(spark, sf_dir, "documents")
     found = line_components(docs).select("doc_id", "line_no", "kept")
-    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("int").alias("line_no"), F.lit(None).cast("boolean").alias("kept"))
-    return found.unionByName(every).groupBy("doc_id").agg(
-        F.count("line_no").alias("n_lines"),
-        F.count_if(~F.col("kept")).alias("n_removed"),
-        F.array_join(F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line_no")))), ",").alias("removed_lines"),
-    )
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("int").alias("line_no"), F.lit(True).alias("kept"))
+    found = stage(found.unionByName(every), "judged")
+    counts = found.groupBy("doc_id").agg(F.count("line_no").alias("n_lines"), F.count_if(~F.col("kept")).alias("n_removed"))
+    gone = found.where("not kept").groupBy(F.col("doc_id").alias("d")).agg(F.array_join(F.array_sort(F.collect_list("line_no")), ",").alias("gone"))
+    out = counts.join(gone, F.col("doc_id").eqNullSafe(F.col("d")), "left")
+    return out.select("doc_id", "n_lines", "n_removed", F.coalesce("gone", F.lit("")).alias("removed_lines"))

@@ -14,6 +14,7 @@ Shingles and sets are held as 64-bit fingerprints.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -167,14 +168,8 @@ def estimated(x, y):
     return (matching_bits(x, y) / F.lit(float(PERMS)) - chance) / (1 - chance)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id reachable over links), kept.
-
-    Null, empty and all-space texts have an empty set and are linked with nothing.  Rows
-    that repeat a doc_id are judged each by its own text.  A row without doc_id keeps a
-    null component_id, or its component's least doc_id, and is kept only if it has none.
-    An empty table gives an empty result; other columns are ignored.
-    """
+def judged(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, node, root (a node of its component), component_id and kept of each row."""
     signed = stage(signatures(docs), "signed")
     full = signed.where("node is not null")
     holders = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"))
@@ -189,25 +184,53 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         DEN,
         nodes.select("node", "sig"),
         lambda x, y: estimated(x, y) >= LEAST_ESTIMATE,
+        sizes=holders.select("node", "n"),
     )
     rooted = holders.join(labels, "node", "left").withColumn("root", F.coalesce("component", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = rooted.join(least, "root").select("node", "component_id")
+    named = rooted.join(least, "root").select("node", "root", "component_id")
     out = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select(
-        "doc_id",
-        "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
-    )
+    kept = F.coalesce(F.col("doc_id") == component, component.isNull())
+    return out.select("doc_id", "n_shingles", "node", "root", component.alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id (least doc_id reachable over links), kept.
+
+    Null, empty and all-space texts have an empty set and are linked with nothing.  Rows
+    that repeat a doc_id are judged each by its own text.  A row without doc_id keeps a
+    null component_id, or its component's least doc_id, and is kept only if it has none.
+    An empty table gives an empty result; other columns are ignored.
+    """
+    return judged(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op3_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """Each document's component; see near_duplicates() for nulls, empty texts, repeated rows and an empty table."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the rows of one document of each group, with the columns of docs."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """Pipeline stage: one row of each group, a row of its least doc_id, with the columns of docs.
+
+    Rows without words or text are in no group and all stay.  Rows that repeat a doc_id,
+    or have none, are judged each by its own text, and one row of a group stays even if
+    several have its least doc_id.  An empty table gives an empty result.
+    """
+    found = stage(judged(docs), "judged")
+    again = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("_again"))
+    again = stage(again, "again")
+    kept = found.where("kept and doc_id is not null").join(again, F.col("doc_id") == F.col("_again"), "left_anti").select(F.col("doc_id").alias("_kept"))
+    once = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
+    if again.isEmpty():
+        return once
+    row = f"_row_{uuid.uuid4().hex}"
+    rows = docs.join(again, docs["doc_id"].eqNullSafe(again["_again"]), "left_semi")
+    rows = stage(rows.withColumn(row, F.monotonically_increasing_id()), "rows")
+    own = signatures(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "node")
+    own = stage(rows.select(row, F.col("doc_id").cast("long").alias("doc_id")).join(own, row), "own")
+    groups = found.where("node is not null").select("node", "root", "component_id").distinct()
+    first = own.join(groups, "node").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(row).alias(row))
+    stay = first.select(row).unionByName(own.where("node is null").select(row))
+    return once.unionByName(rows.join(stay, row, "left_semi").select(*docs.columns))

@@ -71,16 +71,22 @@ def hubs(found: DataFrame) -> DataFrame:
     return near.groupBy("node").agg(F.max("top").alias("top")).select(F.col("node").alias("a"), F.col("top.node").alias("b"))
 
 
-def leftovers(found, labels, sets, near, num: int, den: int, sketches=None, likely=None, of=itself) -> DataFrame:
+def leftovers(found, labels, sets, near, num: int, den: int, sketches=None, likely=None, of=itself, sizes=None) -> DataFrame:
     """(a, b) pairs of different components that a bucket and the bounds of step 2 allow, once each.
 
     near: node, hub, inhub (elements that the hub has too), novel (the others), and lacks (the hub's
     others), if pairs with one hub are to be compared exactly, by these differences, before they are made.
     """
     marked = found.join(labels.select("node", F.col("component").alias("c")), "node", "left").withColumn("c", F.coalesce("c", "node"))
-    mixed = marked.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
+    mixed = marked.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"))
+    mixed = mixed.where("c0 <> c1")
+    # two nodes alone in a bucket, one of them the other's hub, have been compared
+    told = near.select(F.col("node").alias("lo"), F.col("hub").alias("of_lo")), near.select(F.col("node").alias("hi"), F.col("hub").alias("of_hi"))
+    mixed = mixed.join(told[0], "lo", "left").join(told[1], "hi", "left")
+    mixed = mixed.where((F.col("n") > 2) | ~(F.col("of_lo").eqNullSafe(F.col("hi")) | F.col("of_hi").eqNullSafe(F.col("lo")))).select("key")
     left = stage(marked.join(mixed, "key"), "left")
-    sizes = sets.join(left.select("node").distinct(), "node").select("node", F.size(of(F.col("items"))).alias("n"))
+    if sizes is None:
+        sizes = sets.join(left.select("node").distinct(), "node").select("node", F.size(of(F.col("items"))).alias("n"))
     open_ = stage(left.join(sizes, "node"), "open")
     large = open_.where(F.col("size") > SMALL_BUCKET)
     crowd = large.select("node").distinct()
@@ -151,23 +157,27 @@ def merged(labels: DataFrame, more: DataFrame) -> DataFrame:
     return every.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
 
 
-def link(found: DataFrame, sets_of, num: int, den: int, sketches=None, likely=None, of=itself, exact: bool = False) -> DataFrame:
+def link(found: DataFrame, sets_of, num: int, den: int, sketches=None, likely=None, of=itself, exact: bool = False, sizes=None) -> DataFrame:
     """Components (node, component) of the nodes that verified links connect.
 
     found: members(); sets_of(nodes) gives node, items for the asked nodes, from a staged
-    table.  With sketches (node, sig) the pairs of step 2 are dropped whose
-    likely(sig, sig) is false: those that an estimate rules out.  A node's set is
-    of(items).  With exact, pairs of step 2 with one hub are compared by what sets them
+    table.  With sketches (node, sig) all pairs are dropped whose likely(sig, sig) is
+    false: those that an estimate rules out.  A node's set is
+    of(items); sizes (node, n), if given, has their numbers of elements.  With exact, pairs of step 2 with one hub are compared by what sets them
     apart from it, in the join itself.
     """
     sets = sets_of(found.select("node").distinct())
-    first = compared(hubs(found), sets, of)
+    pairs = hubs(found)
+    if sketches is not None:
+        a, b = (sketches.select(F.col("node").alias(c), F.col("sig").alias(f"{c}_sig")) for c in ("a", "b"))
+        pairs = pairs.join(a, "a").join(b, "b").where(likely(F.col("a_sig"), F.col("b_sig"))).select("a", "b")
+    first = compared(pairs, sets, of)
     apart = [F.array_except("x", "y").alias("novel"), *([F.array_except("y", "x").alias("lacks")] if exact else [])]
     near = stage(first.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.col("both").alias("inhub"), *apart, F.size("y").alias("hub_n")), "near")
     total = F.col("inhub") + F.size("novel") + F.col("hub_n")
     edges = stage(near.where(enough(F.col("inhub"), total, num, den)).select(F.col("node").alias("a"), F.col("hub").alias("b")), "links")
     labels = stage(components(edges), "labels")
-    rest = leftovers(found, labels, sets, near, num, den, sketches, likely, of)
+    rest = leftovers(found, labels, sets, near, num, den, sketches, likely, of, sizes)
     more = stage(verified(rest, sets, num, den, of), "links")
     drop(edges, near, rest)
     if more.isEmpty():

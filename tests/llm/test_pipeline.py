@@ -1,5 +1,8 @@
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from linkwright.llm import mixing, near_dedup, toxicity
 
@@ -42,6 +45,29 @@ def test_stages_in_turn(spark, tmp_path):
     assert toxicity.THRESHOLD == 0.3
 
 
+def test_one_row_of_each_group(spark, tmp_path):
+    """Rows that repeat ids, rows without ids, texts without words."""
+    a, b, c = words(40), words(40, 100), words(40, 200)
+    rows = [(1, a), (1, a), (2, a), (2, a), (2, b), (3, None), (3, None), (4, ""), (None, c), (None, c), (None, b), (5, a + " end"), (6, words(40, 300))]
+    docs = frame(spark, rows).withColumn("node", F.lit("clash")).withColumn("kept", F.lit(0))
+    got = near_dedup.keep_one(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    want = [(1, a), (2, b), (3, None), (3, None), (4, ""), (None, c), (6, words(40, 300))]
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)] * 2, [(7, words(30), None, None, None)] * 3])
+def test_pipeline_of_little(spark, tmp_path, rows):
+    """No documents, nulls only, and one document three times."""
+    frame(spark, rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    frame(spark, [], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    frame(spark, [("q", words(12, 900))], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(got) <= max(len(rows), 0) and (rows or not got)
+    if rows and rows[0][0]:
+        assert len(got) <= 1
+
+
 def test_run_is_the_stages(spark, tmp_path):
     rows, labels = toxic_rows(60)
     frame(spark, [(i, t, "en", "src1", 0) for i, t in rows], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
