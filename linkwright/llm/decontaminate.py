@@ -4,9 +4,10 @@ Windows of `width` normalised words of each benchmark item (an item of fewer wor
 window) are fingerprinted and sent to all tasks; each document's windows are looked up
 vectorised, and every hit is verified on the words themselves before it counts.
 
-A broadcast holds MOST_WINDOWS windows at most.  A larger benchmark is split by
-fingerprint into blocks of that size, and the documents are streamed through one block
-after the other within the same tasks, without a shuffle.
+A broadcast holds about MOST_WINDOWS windows at most.  A larger benchmark is split by
+fingerprint into blocks of that size.  The documents are scanned once for each block; what
+they hit is written to the shared folder, and a block's broadcast is destroyed before the
+next one is read, so that driver and workers hold one block at a time.  Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -143,6 +144,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, mos
     keep = [c for c in docs.columns if c not in ("n_words", "n_hit", "spans", "items", "hits")]
     out = docs.select(*keep).withColumn("hits", F.lit(None).cast("array<struct<at: int, size: int, items: array<string>>>"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.drop("hits").schema)
+    held = []
     for k in range(blocks):
         block = windows if blocks == 1 else windows.where(F.pmod(F.shiftrightunsigned("print", 20), F.lit(blocks)) == k)
         sent = spark.sparkContext.broadcast(WindowSet(block.collect()))  # at most about `most` rows
@@ -153,11 +155,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, mos
             else "hits array<struct<at: int, size: int, items: array<string>>>"
         )
         out = out.mapInArrow(_look(sent, last, keep.index("text")), f"{fields}, {more}")
+        if not last:
+            out = stage(out, "hits")
+            sent.destroy()
+            drop(*held)
+            held = [out]
     drop(windows)
     return out
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:
+    """Each document's hits; see contamination() for nulls, empty texts, repeated rows and empty tables."""
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = contamination(docs.select("doc_id", "text"), benchmark)
     return found.select(
@@ -171,6 +179,10 @@ def op5_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents in which no benchmark window occurs."""
+    """Pipeline stage: the documents in which no benchmark window occurs, with the columns of docs.
+
+    Rows are judged each by its own text; null and empty texts stay, as do all documents
+    if the benchmark is empty; an empty table gives an empty result.
+    """
     found = contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.where("n_hit = 0").select(*docs.columns)

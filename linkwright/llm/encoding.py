@@ -22,6 +22,8 @@ from tokenizers import Tokenizer
 #: Pieces that a process keeps, and pieces it remembers to have met once; either table is
 #: begun anew when full.  Only pieces met twice are kept, as most others never come again.
 KEPT_PIECES, MET_PIECES = 1_000_000, 500_000
+#: Characters of the longest piece that is kept, so that the tables are bounded in bytes.
+LONGEST_KEPT = 64
 _PIECE = re.compile(r"\s+(?!\S)|\s?\S+")
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 #: A line feed or space, a word of ASCII and Latin-1 letters, and marks that end a piece.
@@ -51,6 +53,8 @@ class _Pieces(dict):
         else:  # one pre-token: straight to the model
             shown = piece.encode().decode("latin-1").translate(self.letters)
             ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        if len(piece) > LONGEST_KEPT:
+            return ids
         if piece in self.met:
             if len(self) >= KEPT_PIECES:
                 self.clear()

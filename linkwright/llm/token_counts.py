@@ -50,9 +50,15 @@ def _counter(path: str):
 def _count(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(path)
+        done: set[bytes] = set()  # rows that repeat an id and a text, which come to one task
         for batch in batches:
-            n = [count(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["digest", "n_tokens"])
+            digests, n = [], []
+            for digest, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if digest not in done:
+                    done.add(digest)
+                    digests.append(digest)
+                    n.append(count(text.as_py()))
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(n, pa.int64())], ["digest", "n_tokens"])
 
     return run
 
@@ -93,6 +99,6 @@ def token_counts(docs: DataFrame, cache: str, tokenizer: str | None = None, limi
 
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
-    """With a cache of its own, so that each call does the whole work."""
+    """With a cache of its own, so that each call does the whole work; see token_counts() for nulls, repeated rows and an empty table."""
     cache = f"{work_dir(spark)}/token-counts-{uuid.uuid4().hex}"
     return token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), cache)

@@ -7,7 +7,7 @@ stream of their own.  Decoding is a numpy table lookup from control bytes to len
 
 A file is a Parquet table, so that any store Spark can write will do and lost tasks
 leave nothing behind.  A row is a block of whole documents in ascending doc_id order:
-run and seq (its place), first_token within the run, docs (int64 ids and presence),
+run and seq (its place), first_token within the run, tokens, docs (int64 ids and presence),
 lengths, control, data.  Runs are consecutive ranges of doc_id.  ranks/ holds the id of
 each rank, which the vocabulary bounds.
 """
@@ -87,7 +87,7 @@ def _tally(vocabulary: int, kind: str):
     return run
 
 
-_BLOCK = "run int, seq int, first_token long, docs binary, lengths binary, control binary, data binary"
+_BLOCK = "run int, seq int, first_token long, tokens long, docs binary, lengths binary, control binary, data binary"
 
 
 def _blocks(rank_of: np.ndarray, kind: str):
@@ -98,8 +98,8 @@ def _blocks(rank_of: np.ndarray, kind: str):
         control, data = pack(rank_of[values])
         docs = np.array([(0, 0) if i is None else (1, i) for i in ids], dtype="<i8")
         lengths = np.array([len(p) for p in parts], dtype="<i8")
-        row = [run, seq, first, docs.tobytes(), lengths.tobytes(), control, data]
-        types = [pa.int32(), pa.int32(), pa.int64()] + [pa.binary()] * 4
+        row = [run, seq, first, len(values), docs.tobytes(), lengths.tobytes(), control, data]
+        types = [pa.int32(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 4
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], [c.split()[0] for c in _BLOCK.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,20 +170,25 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids before the document), n_tokens, ids (little-endian unsigned 32-bit)."""
     id_of = np.frombuffer(spark.read.parquet(f"{path}/ranks").first()["id_of"], dtype="<u4")
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks")
-    last = blocks.groupBy("run").agg(F.max(F.struct("first_token", F.col("lengths"))).alias("m")).orderBy("run").collect()
+    runs = blocks.groupBy("run").agg(F.sum("tokens").alias("n")).orderBy("run").collect()
     starts, total = {}, 0
-    for row in last:  # a row for each range of documents, that is for each task that wrote
+    for row in runs:  # two numbers for each range of documents, that is for each task that wrote
         starts[row["run"]] = total
-        total += row["m"]["first_token"] + int(np.frombuffer(row["m"]["lengths"], dtype="<i8").sum())
+        total += row["n"]
     return blocks.mapInArrow(_read(id_of, starts), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def op1_token_output(spark, sf_dir: str) -> DataFrame:
+    """Each document's place in the files; see write_tokens() for nulls, repeated rows and an empty table."""
     return encoded_documents(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
 
 
 def encoded_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Write the files, read them back, and describe each document's ids; also the pipeline's last stage."""
+    """Write the files, read them back, and describe each document's ids; also the pipeline's last stage.
+
+    Every row has its own ids, also if it repeats a doc_id or has none; a null text is empty
+    and has the end id alone; an empty table gives an empty result.
+    """
     path = f"{work_dir(spark)}/tokens-{uuid.uuid4().hex}"
     write_tokens(docs, path)
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

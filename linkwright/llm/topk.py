@@ -12,14 +12,16 @@ send their k best for each query, and a second step keeps the k best of all.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import table
+from linkwright.llm.common import stage, table
 
 K = 5
 SCALE = 256
@@ -28,15 +30,22 @@ QUERY_BLOCK = 2048
 CANDIDATES = 16_384
 DIMENSIONS = 16
 SEEDS = 256
+#: Sums below this are exact in doubles.
+EXACT = 1 << 53
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and v, the array of floor(scale * x); vectors that can't take part are left out."""
+    """vec_id and v, the array of floor(scale * x) as doubles, which hold it exactly at any size; vectors that can't take part are left out."""
+
+    def whole(e):
+        y = e.cast("double") * float(scale)
+        return F.when(F.abs(y) < float(EXACT), F.floor(y).cast("double")).otherwise(y)  # larger ones are whole
+
     x = F.col("embedding")
-    finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf")))
+    finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e.cast("double") * float(scale)) < float("inf")))
     return vectors.where(x.isNotNull() & F.col("vec_id").isNotNull() & finite).select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.transform(x, lambda e: F.floor(e.cast("double") * float(scale)).cast("double")).alias("v"),
+        F.transform(x, whole).alias("v"),
     )
 
 
@@ -51,9 +60,12 @@ def _matrix(column: pa.Array, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
 def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray):
     """(query, id, score) of what can be among the k best; floor: a k-th best score known so far, or -inf.
 
-    rows are candidates; scores are sums of whole numbers below 2**53, so doubles are exact.
+    rows are candidates.  Scores are sums of whole numbers; if any partial sum could leave the
+    range in which doubles are exact, they are counted in unbounded integers instead.
     """
     n, d = rows.shape
+    if n and len(queries) and float(np.abs(rows).max()) * float(np.abs(queries).max()) * d >= EXACT:
+        return _best_of_large(queries, query_ids, rows, ids, k)
     columns = np.ascontiguousarray(rows.T)
     squares = columns**2
     norms = squares.sum(axis=0)
@@ -101,6 +113,21 @@ def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.n
     return out_q, out_i, out_s
 
 
+def _best_of_large(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
+    """best() with unbounded integers; a score beyond 64 bits counts as the nearest that 64 bits hold."""
+    columns = [[int(x) for x in r] for r in rows.tolist()]
+    out_q, out_i, out_s = [], [], []
+    for q, v in zip(query_ids.tolist(), queries.tolist()):
+        v = [int(x) for x in v]
+        scored = [(-sum(a * b for a, b in zip(v, c)), i) for c, i in zip(columns, ids.tolist()) if i != q]
+        scored = [(max(1 - (1 << 63), min((1 << 63) - 1, s)), i) for s, i in scored]
+        for s, i in heapq.nsmallest(k, scored):
+            out_q.append(q)
+            out_i.append(i)
+            out_s.append(-s)
+    return out_q, out_i, out_s
+
+
 def _search(sent, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = sent.value  # by number of dimensions: ids, matrix
@@ -136,7 +163,11 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, block: i
     or hold a null or non-finite component, or have no vec_id take no part; vectors of
     another length are no candidates of a query.  Rows that repeat a vec_id count as one
     candidate or query each, but a repeated query is answered once, by its
-    best scores.  Without queries or candidates the result is empty.
+    best scores.  Without queries or candidates the result is empty.  Scores beyond 64 bits
+    count as the nearest number that 64 bits hold.
+
+    Queries go out `block` at a time.  If there are more, the best of each block are written
+    to the shared folder and its broadcast is destroyed before the next goes out.
     """
     spark = vectors.sparkSession
     rows = quantised(vectors, scale)
@@ -150,17 +181,20 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, block: i
         sent = spark.sparkContext.broadcast(
             {d: (np.array([i for i, _ in q], dtype=np.int64), np.array([v for _, v in q], dtype=np.float64).reshape(-1, d)) for d, q in by_size.items()}
         )
-        parts.append(rows.mapInArrow(_search(sent, k), "query_id long, vec_id long, score long"))
+        found = rows.mapInArrow(_search(sent, k), "query_id long, vec_id long, score long")
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        if blocks == 1:
+            return found
+        parts.append(stage(found, "best"))
+        sent.destroy()
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def op8_exact_topk(spark, sf_dir: str) -> DataFrame:
+    """The five best of each query; see top_k() for vectors that take no part, repeated rows and an empty table."""
     return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
 
 

@@ -1,3 +1,4 @@
+import math
 import random
 
 import duckdb
@@ -36,6 +37,22 @@ def test_top_k_against_brute_force(spark, monkeypatch, block, seeds):
     assert sorted(map(tuple, got.collect())) == plain_top(rows, 5, 20)
 
 
+def test_top_k_of_large_components(spark):
+    """Sums beyond what doubles hold are exact; beyond 64 bits they are the nearest 64-bit number, and ties."""
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randrange(0, 9) for _ in range(12)]) for i in range(60)]
+    rows += [(100, [1e30] * 12), (101, [-1e30] * 12), (102, [1e30] * 11 + [-1e30])]
+    most = 2**63 - 1
+    want = []
+    for q, a in rows:
+        if q % 20 == 0:
+            a = [math.floor(256 * x) for x in a]
+            scores = [(max(-most, min(most, sum(x * math.floor(256 * y) for x, y in zip(a, b)))), i) for i, b in rows if i != q]
+            want += [(q, r + 1, i, s) for r, (s, i) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:5])]
+    vectors = spark.createDataFrame(rows + [(103, [1.7e308] * 12)], "vec_id long, embedding array<double>")  # 256 times this isn't finite
+    assert sorted(map(tuple, topk.top_k(vectors, F.col("vec_id") % 20 == 0).collect())) == sorted(want)
+
+
 def test_top_k_of_few(spark):
     vectors = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(vectors, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 32768)]

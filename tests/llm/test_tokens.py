@@ -104,6 +104,23 @@ def test_counts_trust_the_cache_of_this_tokenizer_only(spark, tmp_path):
     assert token_counts.token_counts(frame(spark, [(1, "abc")]), cache).first()["n_tokens"] == 77
 
 
+def test_a_task_counts_a_text_once():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([b"x", b"y", b"x"], pa.binary()), pa.array(["a b", "c", "a b"])], ["digest", "text"])
+    got = [r for out in token_counts._count(PATH)(iter([batch, batch])) for r in out.to_pylist()]
+    assert [(r["digest"], r["n_tokens"]) for r in got] == [(b"x", len(ids_of("a b"))), (b"y", len(ids_of("c")))]
+
+
+def test_long_pieces_are_not_kept():
+    from linkwright.llm.encoding import Encoder
+
+    use, long = Encoder(PATH), "Zm9v" * 5000
+    for _ in range(3):
+        assert use.encode(f"a {long} b") == np.array(ids_of(f"a {long} b"), dtype="<u4").tobytes()
+    assert max(map(len, use._pieces), default=0) <= 64 and max(map(len, use._pieces.met)) <= 64
+
+
 def test_counts_of_sentencepiece(spark, tmp_path):
     path = public_tokenizers.path("piece_bpe_32k.model")
     got = token_counts.token_counts(frame(spark, [(1, "Hello there"), (2, None)]), str(tmp_path / "c"), path)
