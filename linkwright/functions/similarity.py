@@ -1,65 +1,96 @@
-"""String and token-set similarities as Column expressions."""
+"""String and token-set similarities.
+
+Token sets are Column expressions.  Jaro similarity is an Arrow function: a fold over the
+characters of two strings is interpreted row by row in Spark, while a batch of pairs is
+compared here one character position at a time, for all its pairs at once.
+"""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-#: Marks a character of the second string that is taken; does not occur in normalised text.
-TAKEN = "\x01"
+#: Characters of padded pairs compared at once.
+CELLS = 1 << 20
 
 
-def jaro(a: Column, b: Column) -> Column:
-    """Jaro similarity; half the count of transposed characters, not rounded.
-
-    Characters of a are matched from left to right with the first free equal character of b
-    inside the window.  The state is the matched text of a and b with taken characters marked.
-    """
-    n, m = F.length(a), F.length(b)
-    window = F.floor(F.greatest(n, m) / 2).cast("int") - 1
-
-    def step(state: Column, i: Column) -> Column:
-        low = F.greatest(F.lit(1), i - window)
-        high = F.least(m, i + window)
-        free = F.substring(state["mask"], low, F.greatest(F.lit(0), high - low + 1))
-        c = F.substring(a, i, F.lit(1))
-        at = F.when(high >= low, F.position(c, free)).otherwise(0)
-        hit = at > 0
-        mask = F.when(hit, F.overlay(state["mask"], F.lit(TAKEN), low + at - 1, F.lit(1))).otherwise(state["mask"])
-        return F.struct(F.when(hit, F.concat(state["got"], c)).otherwise(state["got"]).alias("got"), mask.alias("mask"))
-
-    start = F.struct(F.lit("").alias("got"), b.alias("mask"))
-    done = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start, step)
-
-    def rate(state: Column) -> Column:
-        k = F.length(state["got"])
-        taken = F.filter(F.sequence(F.lit(1), F.greatest(m, F.lit(1))), lambda i: F.substring(state["mask"], i, F.lit(1)) == TAKEN)
-        other = F.array_join(F.transform(taken, lambda i: F.substring(b, i, F.lit(1))), "")
-        swaps = F.size(
-            F.filter(
-                F.sequence(F.lit(1), F.greatest(k, F.lit(1))),
-                lambda i: F.substring(state["got"], i, F.lit(1)) != F.substring(other, i, F.lit(1)),
-            )
-        )
-        hits = k.cast("double")
-        return F.when(k == 0, 0.0).otherwise((hits / n + hits / m + (hits - swaps / F.lit(2.0)) / hits) / F.lit(3.0))
-
-    value = F.element_at(F.transform(F.array(done), rate), 1)  # binds the state, so it is computed once
-    return F.when((n == 0) | (m == 0), 0.0).when(a == b, 1.0).otherwise(value)
-
-
-def common_prefix(a: Column, b: Column, most: int = 4) -> Column:
-    out = F.lit(0)
-    for k in range(most, 0, -1):
-        whole = (F.length(a) >= k) & (F.length(b) >= k) & (F.substring(a, 1, k) == F.substring(b, 1, k))
-        out = F.when((out == 0) & whole, k).otherwise(out)
+def _padded(texts: list[str], width: int, fill: int) -> np.ndarray:
+    """(texts, width) code points; what is beyond a text's end is fill."""
+    whole = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<i4")
+    size = np.array([len(t) for t in texts])
+    out = np.full((len(texts), width), fill, dtype=np.int32)
+    out[np.arange(width) < size[:, None]] = whole
     return out
 
 
+def _jaro_block(a: list[str], b: list[str]) -> np.ndarray:
+    n, m = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    x, y = _padded(a, int(n.max()), -1), _padded(b, int(m.max()), -2)
+    reach = np.maximum(n, m) // 2 - 1
+    place, row = np.arange(y.shape[1]), np.arange(len(a))
+    free = np.ones(y.shape, dtype=bool)
+    got = np.zeros(x.shape, dtype=bool)
+    for i in range(x.shape[1]):  # from left to right each takes the first free equal one inside the window
+        fits = (y == x[:, i : i + 1]) & free & (np.abs(place - i) <= reach[:, None])
+        first = fits.argmax(axis=1)
+        hit = fits[row, first]
+        got[:, i] = hit
+        free[row[hit], first[hit]] = False
+    k = got.sum(axis=1)
+    swaps = np.zeros(len(a), dtype=np.int64)
+    owner = np.repeat(row, k)
+    np.add.at(swaps, owner, x[got] != y[~free])  # either side row by row, in order of place
+    hits = k.astype(np.float64)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rate = (hits / n + hits / m + (hits - swaps / 2.0) / hits) / 3.0
+    return np.where(k == 0, 0.0, rate)
+
+
+def jaro_of(a: list[str], b: list[str]) -> np.ndarray:
+    """Jaro similarity of each pair; half the count of transposed characters, not rounded."""
+    out = np.array([1.0 if x == y and x else 0.0 for x, y in zip(a, b)])
+    open_ = sorted((max(len(x), len(y)), i) for i, (x, y) in enumerate(zip(a, b)) if x and y and x != y)
+    at = 0
+    while at < len(open_):  # pairs of like lengths together
+        to = at + 1
+        while to < len(open_) and (to - at + 1) * open_[to][0] <= CELLS:
+            to += 1
+        which = [i for _, i in open_[at:to]]
+        out[which] = _jaro_block([a[i] for i in which], [b[i] for i in which])
+        at = to
+    return out
+
+
+def _lists(a: pd.Series, b: pd.Series) -> tuple[list[str], list[str], np.ndarray]:
+    none = (a.isna() | b.isna()).to_numpy()
+    return a.fillna("").tolist(), b.fillna("").tolist(), none
+
+
+@F.pandas_udf(DoubleType())
+def _jaro(a: pd.Series, b: pd.Series) -> pd.Series:
+    x, y, none = _lists(a, b)
+    return pd.Series(np.where(none, np.nan, jaro_of(x, y))).where(~none)
+
+
+@F.pandas_udf(DoubleType())
+def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
+    x, y, none = _lists(a, b)
+    j = jaro_of(x, y)
+    same = np.array([next((k for k in range(min(4, len(u), len(v))) if u[k] != v[k]), min(4, len(u), len(v))) for u, v in zip(x, y)])
+    return pd.Series(np.where(none, np.nan, j + same * 0.1 * (1.0 - j))).where(~none)
+
+
+def jaro(a: Column, b: Column) -> Column:
+    """Jaro similarity; null if either is null."""
+    return _jaro(a, b)
+
+
 def jaro_winkler(a: Column, b: Column) -> Column:
-    """The prefix bonus applies at any Jaro value."""
-    both = F.transform(F.array(jaro(a, b)), lambda j: j + common_prefix(a, b) * F.lit(0.1) * (F.lit(1.0) - j))
-    return F.element_at(both, 1)
+    """With a bonus of a tenth of what is missing for each of up to four equal first characters, at any Jaro value."""
+    return _jaro_winkler(a, b)
 
 
 def token_jaccard(x: Column, y: Column) -> Column:

@@ -182,14 +182,17 @@ def block_inverted(queries: DataFrame, targets: DataFrame, source: str, top: int
     asked = _inverted_keys(queries, False).withColumnRenamed("entity_id", "source1_entity_id")
     hits = asked.join(lists, ["country", "channel", "key"]).withColumn("hits", F.col("tf") * F.col("tft"))
     weight = F.create_map(*[F.lit(x) for c, (w, _) in INVERTED.items() for x in (c, w)])
-    by_channel = hits.groupBy("source1_entity_id", "candidate_entity_id", "country", "channel").agg(F.sum("hits").alias("hits"))
-    pairs = by_channel.groupBy("source1_entity_id", "candidate_entity_id", "country").agg(
+    names = sorted(INVERTED)  # a bit for each, so that one hash aggregate holds all there is to know of a pair
+    bit = F.create_map(*[F.lit(x) for i, c in enumerate(names) for x in (c, 1 << i)])
+    pairs = hits.groupBy("source1_entity_id", "candidate_entity_id", "country").agg(
         F.sum(F.col("hits") * weight[F.col("channel")]).alias("retrieval_score"),
         F.sum("hits").cast("int").alias("channel_count"),
-        F.array_join(F.slice(F.array_sort(F.collect_set("channel")), 1, 5), "|").alias("retrieval_channels"),
+        F.bit_or(bit[F.col("channel")]).alias("bits"),
     )
     best = Window.partitionBy("source1_entity_id").orderBy(F.desc("retrieval_score"), "candidate_entity_id")
     ranked = pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top)
+    hit = F.filter(F.array(*[F.when(F.col("bits").bitwiseAND(F.lit(1 << i)) > 0, c) for i, c in enumerate(names)]), lambda c: c.isNotNull())
+    ranked = ranked.withColumn("retrieval_channels", F.array_join(F.slice(hit, 1, 5), "|"))
     return ranked.select(
         "source1_entity_id",
         "candidate_entity_id",
@@ -227,28 +230,44 @@ def block_tfidf(queries: DataFrame, targets: DataFrame, top: int = 30, least: fl
 
     The vocabulary is the n-grams most frequent in the targets; document frequencies and
     norms are per country.  name_score is the better of 1 for an equal name and the cosine.
+    Equal names of a country have one vector, whose name is that of their first id, so that
+    the work depends on the distinct names.
     """
-    grams = targets.select("entity_id", "country", F.explode(char_ngrams(F.col("name_clean"))).alias("g"))
-    tf = grams.groupBy("entity_id", "country", "g").agg(F.count("*").alias("tf"))
+
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("country", "name_clean").agg(F.min("entity_id").alias("name"), F.count("*").alias("times"))
+
+    def counted(names: DataFrame) -> DataFrame:
+        grams = names.select("name", "country", "times", F.explode(char_ngrams(F.col("name_clean"))).alias("g"))
+        return grams.groupBy("name", "country", "times", "g").agg(F.count("*").alias("tf"))
+
+    tf = counted(named(targets))
     n = targets.groupBy("country").agg(F.count("*").alias("n"))
-    df = tf.groupBy("country", "g").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
+    df = tf.groupBy("country", "g").agg(F.sum("times").alias("df"), F.sum(F.col("tf") * F.col("times")).alias("total"))
     rank = Window.partitionBy("country").orderBy(F.desc("total"), "g")
     idf = df.withColumn("place", F.row_number().over(rank)).where(F.col("place") <= most_features).join(n, "country")
     idf = idf.select("country", "g", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
     def vectors(tfs: DataFrame) -> DataFrame:
         weighed = tfs.join(idf, ["country", "g"]).withColumn("x", F.col("tf") * F.col("idf"))
-        norms = weighed.groupBy("entity_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-        return weighed.join(norms, "entity_id").select("entity_id", "country", "g", (F.col("x") / F.col("norm")).alias("x"))
-
-    asked = queries.select("entity_id", "country", F.explode(char_ngrams(F.col("name_clean"))).alias("g"))
-    asked = vectors(asked.groupBy("entity_id", "country", "g").agg(F.count("*").alias("tf")))
-    left = asked.select(F.col("entity_id").alias("source1_entity_id"), "country", "g", F.col("x").alias("qx"))
-    right = vectors(tf).select(F.col("entity_id").alias("candidate_entity_id"), "country", "g", F.col("x").alias("tx"))
-    cosine = left.join(right, ["country", "g"]).groupBy("source1_entity_id", "candidate_entity_id", "country")
-    pairs = cosine.agg(F.sum(F.col("qx") * F.col("tx")).alias("cosine"))
-    order = Window.partitionBy("source1_entity_id").orderBy(F.desc(F.round("cosine", 9)), "candidate_entity_id")
-    near = pairs.withColumn("tfidf_rank", F.row_number().over(order)).where((F.col("tfidf_rank") <= top) & (F.col("cosine") >= least))
+        norms = weighed.groupBy("name").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+        return weighed.join(norms, "name").select("name", "country", "g", (F.col("x") / F.col("norm")).alias("x"))
+
+    left = vectors(counted(named(queries))).select(F.col("name").alias("qname"), "country", "g", F.col("x").alias("qx"))
+    right = vectors(tf).select(F.col("name").alias("tname"), "country", "g", F.col("x").alias("tx"))
+    cosine = left.join(right, ["country", "g"]).groupBy("qname", "tname", "country")
+    pairs = cosine.agg(F.sum(F.col("qx") * F.col("tx")).alias("cosine")).where(F.col("cosine") >= least)
+    # what is among the best ids has a name among the best names, ties included, and is among the name's first ids
+    score = F.desc(F.round("cosine", 9))
+    pairs = pairs.withColumn("place", F.rank().over(Window.partitionBy("qname").orderBy(score))).where(F.col("place") <= top).drop("place")
+    holders = Window.partitionBy("name").orderBy("entity_id")
+    first = targets.join(named(targets), ["country", "name_clean"]).select("entity_id", "name")
+    first = first.withColumn("place", F.row_number().over(holders)).where(F.col("place") <= top)
+    found = pairs.join(first.select(F.col("name").alias("tname"), F.col("entity_id").alias("candidate_entity_id")), "tname")
+    order = Window.partitionBy("qname").orderBy(score, "candidate_entity_id")
+    found = found.withColumn("tfidf_rank", F.row_number().over(order)).where(F.col("tfidf_rank") <= top)
+    askers = queries.join(named(queries), ["country", "name_clean"]).select(F.col("entity_id").alias("source1_entity_id"), F.col("name").alias("qname"))
+    near = askers.join(found, "qname").select("source1_entity_id", "candidate_entity_id", "country", "cosine", "tfidf_rank")
     q = queries.where("name_compact <> ''").select(F.col("entity_id").alias("source1_entity_id"), "country", "name_compact")
     t = targets.select(F.col("entity_id").alias("candidate_entity_id"), "country", "name_compact")
     exact = q.join(t, ["country", "name_compact"]).select("source1_entity_id", "candidate_entity_id", "country", F.lit(1).alias("exact_name_match"))

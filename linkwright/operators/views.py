@@ -10,30 +10,33 @@ from linkwright.functions import text as T
 DIALECTS = ("train", "test", "query")
 
 
-def normalized_views(raw: DataFrame, compose: bool = False) -> DataFrame:
-    """raw with eleven views of name and address added; with compose through NFKC."""
+def normalized_views(raw: DataFrame, compose: bool = True) -> DataFrame:
+    """raw with eleven views of name and address added, through NFKC unless compose is false."""
     name, address = F.col("business_name"), F.col("business_address")
+    if compose:  # each once, in one Python step
+        raw = raw.withColumns({"_name": T.nfkc(T.text(name)), "_address": T.nfkc(T.text(address))})
+        name, address = F.col("_name"), F.col("_address")
     out = raw.withColumns(
         {
-            "name_clean": T.normalize_text(name, compose),
-            "name_compact": T.normalize_compact(name, compose),
-            "address_clean": T.normalize_text(address, compose),
-            "address_compact": T.normalize_compact(address, compose),
-            "postal_code": T.postal_code(address, F.col("country"), compose),
-            "numbers": T.extract_numbers(address, compose),
+            "name_clean": T.normalize_text(name),
+            "name_compact": T.normalize_compact(name),
+            "address_clean": T.normalize_text(address),
+            "address_compact": T.normalize_compact(address),
+            "postal_code": T.postal_code(address, F.col("country")),
+            "numbers": T.extract_numbers(address),
         }
     )
     out = out.withColumn("name_no_legal", T.remove_legal_suffixes(F.col("name_clean")))
     return out.withColumns(
         {
             "name_sorted": T.sort_tokens(F.col("name_no_legal")),
-            "name_compact_core": T.normalize_compact(F.col("name_no_legal"), compose),
+            "name_compact_core": T.normalize_compact(F.col("name_no_legal")),
             "combined_text": F.concat_ws(" ", "name_clean", "address_clean"),
         }
-    )
+    ).drop("_name", "_address")
 
 
-def keyed_views(raw: DataFrame, dialect: str = "train", compose: bool = False) -> DataFrame:
+def keyed_views(raw: DataFrame, dialect: str = "train", compose: bool = True) -> DataFrame:
     """normalized_views with the address anchor, name token and address token of one dialect.
 
     Both sides of a join must use the same dialect.

@@ -8,7 +8,7 @@ from __future__ import annotations
 from linkwright import vocab
 from linkwright.operators.blocking import CHANNELS, INVERTED, OLD_LIMITS
 from linkwright.operators.features import INTERCEPT, LOGISTIC
-from linkwright.plans.registry import statements
+from linkwright.plans.registry import PLAIN, WIDE, statements
 from linkwright.queries import CAP, POLICY, THRESHOLDS
 
 _NAMES = statements(customer="customer", supplier="supplier", part="part")
@@ -90,9 +90,15 @@ def _anchor(dialect: str) -> str:
     return "CASE WHEN len(numbers) > 0 AND addr_tok1 <> '' THEN numbers[1] || '_' || addr_tok1 ELSE '' END"
 
 
+def _nfkc(x: str) -> str:
+    """As far as the registry needs it."""
+    return f"translate({x}, '{WIDE}', '{PLAIN}')"
+
+
 def _views(name: str, raw: str, dialect: str = "train") -> str:
-    return f"""{name}_a AS (SELECT *, {_norm('business_name')} AS name_clean, {_compact('business_name')} AS name_compact,
-  {_norm('business_address')} AS address_clean, {_compact('business_address')} AS address_compact, {_numbers('business_address')} AS numbers FROM {raw}),
+    return f"""{name}_0 AS (SELECT *, {_nfkc('business_name')} AS n0, {_nfkc('business_address')} AS a0 FROM {raw}),
+{name}_a AS (SELECT *, {_norm('n0')} AS name_clean, {_compact('n0')} AS name_compact,
+  {_norm('a0')} AS address_clean, {_compact('a0')} AS address_compact, {_numbers('a0')} AS numbers FROM {name}_0),
 {name}_b AS (SELECT *, {_no_legal('name_clean')} AS name_no_legal, {_postal('numbers', 'country')} AS postal_code FROM {name}_a),
 {name}_c AS (SELECT *, array_to_string(list_sort({_tokens('name_no_legal')}), ' ') AS name_sorted, {_compact('name_no_legal')} AS name_compact_core,
   {_tok1(dialect)} AS tok1, {_addr_tok1(dialect)} AS addr_tok1 FROM {name}_b),
@@ -294,15 +300,15 @@ def _inverted() -> str:
 
     limit = "CASE channel " + " ".join(f"WHEN '{c}' THEN {n}" for c, (_, n) in INVERTED.items() if n) + " ELSE 2147483647 END"
     weight = "CASE l.channel " + " ".join(f"WHEN '{c}' THEN CAST({w} AS DOUBLE)" for c, (w, _) in INVERTED.items()) + " END"
-    return f"""{_base()}, t2 AS (SELECT * FROM t WHERE source = 'S2'),
-lists AS (SELECT *, row_number() OVER (PARTITION BY country, channel, key ORDER BY candidate_entity_id) AS place FROM ({side('t2', 'candidate_entity_id', True)})),
+    return f"""{_base()},
+lists AS (SELECT *, row_number() OVER (PARTITION BY substr(candidate_entity_id, 1, 2), country, channel, key ORDER BY candidate_entity_id) AS place FROM ({side('t', 'candidate_entity_id', True)})),
 asked AS ({side('q', 'source1_entity_id', False)}),
 hits AS (SELECT a.source1_entity_id, l.candidate_entity_id, l.country, l.channel, {weight} AS w FROM asked a
   JOIN (SELECT * FROM lists WHERE place <= {limit}) l ON a.country = l.country AND a.channel = l.channel AND a.key = l.key),
 sums AS (SELECT source1_entity_id, candidate_entity_id, country, sum(w) AS retrieval_score, CAST(count(*) AS INTEGER) AS channel_count,
   array_to_string(list_sort(list(DISTINCT channel))[1:5], '|') AS retrieval_channels FROM hits GROUP BY 1, 2, 3),
-best AS (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY retrieval_score DESC, candidate_entity_id) AS place FROM sums)
-SELECT source1_entity_id, candidate_entity_id, 'S2' AS candidate_source, country, retrieval_channels, retrieval_score, channel_count FROM best WHERE place <= 10"""
+best AS (SELECT *, row_number() OVER (PARTITION BY source1_entity_id, substr(candidate_entity_id, 1, 2) ORDER BY retrieval_score DESC, candidate_entity_id) AS place FROM sums)
+SELECT source1_entity_id, candidate_entity_id, substr(candidate_entity_id, 1, 2) AS candidate_source, country, retrieval_channels, retrieval_score, channel_count FROM best WHERE place <= 80"""
 
 
 def _tfidf() -> str:
@@ -312,22 +318,28 @@ def _tfidf() -> str:
         words = f"SELECT entity_id, country, ' ' || unnest({_tokens('name_clean')}) || ' ' AS w FROM {table}"
         return f"SELECT entity_id, country, g, count(*) AS tf FROM (SELECT entity_id, country, unnest(list_concat({three}, {four})) AS g FROM ({words})) GROUP BY 1, 2, 3"
 
-    def vectors(name: str, tf: str) -> str:
-        return f"""{name}_x AS (SELECT f.entity_id, f.country, f.g, f.tf * i.idf AS x FROM {tf} f JOIN idf i ON i.country = f.country AND i.g = f.g),
-{name} AS (SELECT *, x / sqrt(sum(x * x) OVER (PARTITION BY entity_id)) AS y FROM {name}_x)"""
-
-    return f"""{_base()}, t2 AS (SELECT * FROM t WHERE source = 'S2'), tt AS ({grams('t2')}), tq AS ({grams('q')}),
-n AS (SELECT country, count(*) AS n FROM t2 GROUP BY 1),
-df AS (SELECT country, g, count(*) AS df, sum(tf) AS total FROM tt GROUP BY 1, 2),
-idf AS (SELECT df.country, g, ln((1 + n) / (1 + CAST(df AS DOUBLE))) + 1 AS idf FROM df JOIN n ON n.country = df.country),
-{vectors('vt', 'tt')}, {vectors('vq', 'tq')},
-cos AS (SELECT a.entity_id AS s, b.entity_id AS c, a.country, sum(a.y * b.y) AS cosine FROM vq a JOIN vt b ON a.country = b.country AND a.g = b.g GROUP BY 1, 2, 3),
-near AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY s ORDER BY round(cosine, 9) DESC, c) AS INTEGER) AS tfidf_rank FROM cos) WHERE tfidf_rank <= 5 AND cosine >= 0.25),
-exact AS (SELECT q.entity_id AS s, t2.entity_id AS c, q.country FROM q JOIN t2 ON q.country = t2.country AND q.name_compact = t2.name_compact WHERE q.name_compact <> '')
-SELECT coalesce(n.s, e.s) AS source1_entity_id, coalesce(n.c, e.c) AS candidate_entity_id, coalesce(n.country, e.country) AS country,
+    def vectors(name: str, tf: str, k: str) -> str:
+        return f"""{name}_x{k} AS (SELECT f.entity_id, f.country, f.g, f.tf * i.idf AS x FROM {tf} f JOIN idf{k} i ON i.country = f.country AND i.g = f.g),
+{name}{k} AS (SELECT *, x / sqrt(sum(x * x) OVER (PARTITION BY entity_id)) AS y FROM {name}_x{k})"""
+
+    def one(source: str) -> tuple[str, str]:
+        k = source[1]
+        rows = f"""t{k} AS (SELECT * FROM t WHERE source = '{source}'), tt{k} AS ({grams(f't{k}')}),
+n{k} AS (SELECT country, count(*) AS n FROM t{k} GROUP BY 1),
+df{k} AS (SELECT country, g, count(*) AS df, sum(tf) AS total FROM tt{k} GROUP BY 1, 2),
+idf{k} AS (SELECT d.country, g, ln((1 + n) / (1 + CAST(df AS DOUBLE))) + 1 AS idf FROM df{k} d JOIN n{k} n ON n.country = d.country),
+{vectors('vt', f'tt{k}', k)}, {vectors('vq', 'tq', k)},
+cos{k} AS (SELECT a.entity_id AS s, b.entity_id AS c, a.country, sum(a.y * b.y) AS cosine FROM vq{k} a JOIN vt{k} b ON a.country = b.country AND a.g = b.g GROUP BY 1, 2, 3),
+near{k} AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY s ORDER BY round(cosine, 9) DESC, c) AS INTEGER) AS tfidf_rank FROM cos{k}) WHERE tfidf_rank <= 30 AND cosine >= 0.25),
+exact{k} AS (SELECT q.entity_id AS s, x.entity_id AS c, q.country FROM q JOIN t{k} x ON q.country = x.country AND q.name_compact = x.name_compact WHERE q.name_compact <> '')"""
+        out = f"""SELECT coalesce(n.s, e.s) AS source1_entity_id, coalesce(n.c, e.c) AS candidate_entity_id, '{source}' AS candidate_source, coalesce(n.country, e.country) AS country,
   CAST(CASE WHEN e.s IS NULL THEN 0 ELSE 1 END AS INTEGER) AS exact_name_match, round(CASE WHEN e.s IS NULL THEN cosine ELSE 1.0 END, 6) AS name_score, tfidf_rank,
   CASE WHEN e.s IS NULL THEN 'name_tfidf' WHEN n.s IS NULL THEN 'exact_name' ELSE 'exact_name|name_tfidf' END AS channel
-FROM near n FULL JOIN exact e ON n.s = e.s AND n.c = e.c"""
+FROM near{k} n FULL JOIN exact{k} e ON n.s = e.s AND n.c = e.c"""
+        return rows, out
+
+    (two, out_two), (three, out_three) = one("S2"), one("S3")
+    return f"{_base()}, tq AS ({grams('q')}),\n{two},\n{three}\n{out_two}\nUNION ALL {out_three}"
 
 
 _K = "CAST(substr(source1_entity_id, 4) AS BIGINT)"
@@ -342,8 +354,6 @@ results AS (SELECT source1_entity_id, CASE WHEN k % 10 = 4 THEN list_concat(ids,
 rids AS (SELECT source1_entity_id, unnest(ids) AS id FROM results), cids AS (SELECT source1_entity_id, unnest(ids) AS id FROM good)"""
 _RECALL = f"""{_block()}, caught AS (SELECT p.source1_entity_id, count(*) AS n, count(b.candidate_entity_id) AS k FROM truth_pairs p
   LEFT JOIN block b ON b.source1_entity_id = p.source1_entity_id AND b.candidate_entity_id = p.id GROUP BY 1)"""
-_DOCS = f"""WITH d AS (SELECT doc_id, lang, {_tokens(r"regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')")} AS w FROM documents),
-raw AS (SELECT 'D-' || CAST(doc_id AS VARCHAR) AS entity_id, array_to_string(w[1:6], ' ') AS business_name, array_to_string(w[7:18], ' ') AS business_address, lang AS country FROM d)"""
 _RESULT = "SELECT s1.entity_id AS source1_entity_id, coalesce(array_to_string(list_sort(list(DISTINCT x.candidate_entity_id)), ','), '') AS {c} FROM s1 LEFT JOIN {t} x ON x.source1_entity_id = s1.entity_id GROUP BY 1"
 
 ORACLES: dict[str, str] = {
@@ -370,8 +380,6 @@ ORACLES: dict[str, str] = {
 SELECT source1_entity_id, candidate_entity_id, candidate_source, country, channel AS retrieval_channels, {_SCORE} AS retrieval_score, CAST(1 AS INTEGER) AS channel_count FROM ranked WHERE place <= {CAP}""",
     "block_inverted_topk": _inverted(),
     "block_tfidf_topk": _tfidf(),
-    "doc_near_dup": f"""{_DOCS}, v AS (SELECT entity_id, country, {_compact('business_name')} AS a, {_compact('business_address')} AS b FROM raw),
-m AS (SELECT entity_id, min(entity_id) OVER (PARTITION BY country, a, b) AS "first" FROM v) SELECT entity_id, "first" FROM m WHERE entity_id <> "first" """,
     "feat_token": f"{_features()} {_pair('name_jaccard', 'name_containment', 'core_jaccard', 'addr_jaccard', 'addr_containment', 'len_ratio')}",
     "feat_postal_nums": f"{_features()} {_pair('postal_match', 'postal_conflict', 'nums_jaccard', 'nums_conflict')}",
     "feat_jaro": f"{_features()} {_pair('name_jw', 'core_jw', 'addr_jw')}",
@@ -403,8 +411,8 @@ UNION ALL SELECT 'match_not_candidate', count(*) FROM rids r WHERE NOT EXISTS (S
   (SELECT count(*) FROM accepted) AS n, (SELECT count(*) FROM truth_pairs) AS m)
 SELECT tp AS true_positives, n - tp AS false_positives, m - tp AS false_negatives, round(CASE WHEN n > 0 THEN CAST(tp AS DOUBLE) / n ELSE 1.0 END, 6) AS pair_precision,
   round(CASE WHEN m > 0 THEN CAST(tp AS DOUBLE) / m ELSE 1.0 END, 6) AS pair_recall FROM c""",
-    "fp_report": f"""{_DECIDED} SELECT source1_entity_id, candidate_entity_id, round(probability, 6) AS probability, reason FROM accepted a
-WHERE NOT EXISTS (SELECT 1 FROM truth_pairs p WHERE p.source1_entity_id = a.source1_entity_id AND p.id = a.candidate_entity_id)""",
+    "fp_report": f"""{_DECIDED} SELECT source1_entity_id, candidate_entity_id, round(probability, 6) AS probability, reason FROM decided a
+WHERE probability >= 0.5 AND NOT EXISTS (SELECT 1 FROM truth_pairs p WHERE p.source1_entity_id = a.source1_entity_id AND p.id = a.candidate_entity_id)""",
     "blocking_recall": f"""{_RECALL} SELECT round(CAST(sum(k) AS DOUBLE) / sum(n), 6) AS candidate_recall, CAST(sum(n) AS BIGINT) AS total_true_pairs, CAST(sum(k) AS BIGINT) AS captured_true_pairs,
   CAST(sum(n) - sum(k) AS BIGINT) AS missed_true_pairs, round(CAST(count(*) FILTER (WHERE n = k) AS DOUBLE) / count(*), 6) AS entity_all_matches_coverage,
   round(CAST(count(*) FILTER (WHERE k > 0) AS DOUBLE) / count(*), 6) AS entity_any_match_coverage, (SELECT count(*) FROM block) AS total_candidates_generated,

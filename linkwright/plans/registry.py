@@ -23,6 +23,9 @@ SELECT c.c_custkey AS k, p.p_name AS word, lower(c.c_mktsegment) AS segment,
 FROM {customer} c JOIN {part} p ON p.p_partkey = c.c_custkey % (SELECT count(*) FROM {part})
 """
 
+#: Letters and digits, and their full-width forms, which NFKC makes plain.
+PLAIN = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+WIDE = "".join(chr(ord(c) + 0xFEE0) for c in PLAIN)
 _ADDRESS = "house || ' ' || street || ', ' || city || ' ' || postal"
 
 
@@ -39,7 +42,8 @@ def _noisy(prefix: str, suffix: str, phase: str) -> str:
 def statements(**tables: str) -> dict[str, str]:
     """Statements for s1, s2, s3 and truth, over the given table names or subqueries."""
     base = f"({_BASE}) base".format(**tables)
-    s1 = f"SELECT 'S1-' || CAST(k AS STRING) AS entity_id, word || ' ' || segment || suffix AS business_name, {_ADDRESS} AS business_address, country FROM {base}"
+    accented = "CASE WHEN k % 11 = 3 THEN translate(word || ' ' || segment, 'aeu', 'áéü') ELSE word || ' ' || segment END || suffix"
+    s1 = f"SELECT 'S1-' || CAST(k AS STRING) AS entity_id, {accented} AS business_name, {_ADDRESS} AS business_address, country FROM {base}"
     decoys = f"""
 SELECT 'S2-D' || CAST(s.s_suppkey AS STRING) AS entity_id,
   CASE WHEN s.s_suppkey % 2 = 0 THEN 'quiet harbour ' || lower(s.s_name) ELSE b.word || ' ' || b.segment || b.suffix END AS business_name,
@@ -49,7 +53,8 @@ FROM {{supplier}} s JOIN ({_BASE}) b ON b.k = s.s_suppkey""".format(**tables)
     columns = "entity_id, business_name, business_address, country"
     s2 = f"SELECT {columns} FROM ({_noisy('S2', '', 'k % 6')} FROM {base} WHERE k % 4 <> 0) x UNION ALL SELECT {columns} FROM ({decoys}) d"
     once, again = _noisy("S3", "", "(k + 2) % 6"), _noisy("S3", "b", "(k + 3) % 6")
-    s3 = f"SELECT {columns} FROM ({once} FROM {base} WHERE k % 3 <> 0) x UNION ALL SELECT {columns} FROM ({again} FROM {base} WHERE k % 3 <> 0 AND k % 5 = 0) y"
+    wide = ", ".join(f"CASE WHEN k % 10 = 7 THEN translate({c}, '{PLAIN}', '{WIDE}') ELSE {c} END AS {c}" for c in ("business_name", "business_address"))
+    s3 = f"SELECT entity_id, {wide}, country FROM ({once} FROM {base} WHERE k % 3 <> 0) x UNION ALL SELECT {columns} FROM ({again} FROM {base} WHERE k % 3 <> 0 AND k % 5 = 0) y"
     custom = tables["customer"]
     truth = f"""
 SELECT 'S1-' || CAST(c_custkey AS STRING) AS source1_entity_id, 'S2-' || CAST(c_custkey AS STRING) AS id FROM {custom} WHERE c_custkey % 4 <> 0

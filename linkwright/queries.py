@@ -162,19 +162,6 @@ def block_old(r):
     return blocking.block_old(*_sides(r), CAP)
 
 
-@query
-def block_inverted_topk(r):
-    q, t = normalized_views(r.s1), normalized_views(r.s2)
-    return blocking.block_inverted(q, t, "S2", 10)
-
-
-@query
-def block_tfidf_topk(r):
-    q, t = normalized_views(r.s1), normalized_views(r.s2)
-    rows = blocking.block_tfidf(q, t, 5)
-    return rows.select("source1_entity_id", "candidate_entity_id", "country", "exact_name_match", _r("name_score"), "tfidf_rank", "channel")
-
-
 def _by_source(r, find):
     """find(queries, targets, source) of either table, one after the other."""
     q = normalized_views(r.s1)
@@ -182,12 +169,12 @@ def _by_source(r, find):
 
 
 @query
-def block_inverted_sources(r):
+def block_inverted_topk(r):
     return _by_source(r, blocking.block_inverted)
 
 
 @query
-def block_tfidf_sources(r):
+def block_tfidf_topk(r):
     def find(q, t, source):
         rows = blocking.block_tfidf(q, t).withColumn("candidate_source", F.lit(source))
         return rows.select("source1_entity_id", "candidate_entity_id", "candidate_source", "country", "exact_name_match", _r("name_score"), "tfidf_rank", "channel")
@@ -195,28 +182,7 @@ def block_tfidf_sources(r):
     return _by_source(r, find)
 
 
-def _documents_as_records(spark, sf_dir):
-    words = T.tokens(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\s]+", " "))
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.select(
-        F.concat(F.lit("D-"), F.col("doc_id").cast("string")).alias("entity_id"),
-        F.array_join(F.slice(words, 1, 6), " ").alias("business_name"),
-        F.array_join(F.slice(words, 7, 12), " ").alias("business_address"),
-        F.col("lang").alias("country"),
-    )
-
-
 def _doc_near_dup(spark, sf_dir):
-    """Documents that share the clean name and address views with an earlier one."""
-    v = normalized_views(_documents_as_records(spark, sf_dir)).select("entity_id", "country", "name_compact", "address_compact")
-    first = v.groupBy("country", "name_compact", "address_compact").agg(F.min("entity_id").alias("first"))
-    return v.join(first, ["country", "name_compact", "address_compact"]).where("entity_id <> first").select("entity_id", "first")
-
-
-QUERIES["doc_near_dup"] = _doc_near_dup
-
-
-def _doc_near_dup_whole(spark, sf_dir):
     """Pairs of documents of one language by TF-IDF of their whole texts, both ways, up to 30 candidates and all equal ones."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     whole = docs.select(
@@ -230,7 +196,7 @@ def _doc_near_dup_whole(spark, sf_dir):
     return rows.select("source1_entity_id", "candidate_entity_id", "country", "exact_name_match", _r("name_score"), "channel")
 
 
-QUERIES["doc_near_dup_whole"] = _doc_near_dup_whole
+QUERIES["doc_near_dup"] = _doc_near_dup
 
 
 # ---- pairs
@@ -238,7 +204,7 @@ QUERIES["doc_near_dup_whole"] = _doc_near_dup_whole
 
 def _features(r):
     q, t = _sides(r)
-    return features.pair_features(blocking.block(q, t, CAP, accents=False), q, t["S2"].unionByName(t["S3"]))
+    return features.pair_features(blocking.block(q, t, CAP), q, t["S2"].unionByName(t["S3"]))
 
 
 def _pair(*columns):
@@ -398,7 +364,9 @@ def eval_pairs(r):
 
 @query
 def fp_report(r):
-    return evaluate.false_positives(r.truth, _decided(r)[1]).select(*_pair("probability"), "reason")
+    """What the scorer alone would accept wrongly, with what the policy says of it."""
+    likely = _decided(r)[1].withColumn("accepted", F.col("probability") >= 0.5)
+    return evaluate.false_positives(r.truth, likely).select(*_pair("probability"), "reason")
 
 
 @query
