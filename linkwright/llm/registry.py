@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from linkwright.llm import mixing, topk
+from linkwright.llm import mixing, oracles, topk
 from linkwright.llm.decontaminate import op5_decontaminate
 from linkwright.llm.line_dedup import op4_line_dedup
 from linkwright.llm.near_dedup import op3_minhash_near_dedup
@@ -28,4 +28,12 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "op9_mixing": mixing.op9_mixing,
     "op10_token_counts": op10_token_counts,
 }
-ORACLES: dict[str, str] = {"op8_exact_topk": topk.OP8_SQL, "op9_mixing": mixing.sql()}
+#: The others learn a model or need a tokenizer; their tests compare them with plain versions.
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": oracles.OP2,
+    "op3_minhash_near_dedup": oracles.OP3,
+    "op4_line_dedup": oracles.OP4,
+    "op5_decontaminate": oracles.OP5,
+    "op8_exact_topk": topk.OP8_SQL,
+    "op9_mixing": mixing.sql(),
+}
