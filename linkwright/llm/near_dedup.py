@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.llm import nearlinks
-from linkwright.llm.common import documents, drop, stage
+from linkwright.llm.common import documents, drop, release, stage
 from linkwright.llm.words import SPACED, U64, Words, chunks, mix
 
 SHINGLE = 5
@@ -123,6 +123,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ]
             ids = batch.column(0).slice(w.rows.start, len(w.rows))
             yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), nodes, *lists], names)
+    release()
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -177,15 +178,23 @@ def judged(docs: DataFrame) -> DataFrame:
     bands = nodes.select("node", F.explode("bands").alias("key"))
     found = stage(nearlinks.members(bands), "members")
 
+    held = [nodes, found]
+
+    def sets(asked: DataFrame) -> DataFrame:
+        held.append(stage(sets_of(docs, holders.select("node", "doc_id"), asked), "sets"))
+        return held[-1]
+
     labels = nearlinks.link(
         found,
-        lambda asked: stage(sets_of(docs, holders.select("node", "doc_id"), asked), "sets"),
+        sets,
         NUM,
         DEN,
         nodes.select("node", "sig"),
         lambda x, y: estimated(x, y) >= LEAST_ESTIMATE,
         sizes=holders.select("node", "n"),
     )
+    labels = stage(labels, "labels")
+    drop(*held)
     rooted = holders.join(labels, "node", "left").withColumn("root", F.coalesce("component", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.join(least, "root").select("node", "root", "component_id")

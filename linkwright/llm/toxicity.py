@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import table
+from linkwright.llm.common import release, table
 from linkwright.llm.words import ALNUM, U64, Words, _powers, chunks, mix, rolling
 
 #: Labelled documents the model is fitted on, at most, chosen by a hash of doc_id; longer ones are not chosen.
@@ -361,6 +361,8 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if total > SAMPLE_TOTAL:
             break
     model = fit(texts, np.array(toxic, dtype=np.int64))
+    del texts
+    release()
     yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(pickle.dumps(model), 1)], pa.binary())], ["model"])
 
 
@@ -391,6 +393,7 @@ def _score(sent, as_text: int, spans: bool):
                 if spans:
                     new.append(pa.array([_offsets(w, p, t) for t in range(len(w.rows))], span))
                 yield pa.RecordBatch.from_arrays(part.columns + new, [*part.schema.names, "score", "spans"][: part.num_columns + len(new)])
+        release()
 
     return run
 
