@@ -24,7 +24,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage, from the documents of sf_dir."""
+    """The rows of the last stage, from the documents of sf_dir.
+
+    Each stage states what it does with nulls, empty texts and repeated rows; an empty table
+    of documents, of labels or of benchmark items goes through all of them.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name)
