@@ -34,10 +34,14 @@ def read_truth(spark: SparkSession, path: str) -> DataFrame:
 
 
 def store_views(raw: DataFrame, path: str, source: str, dialect: str = "train", compose: bool = True) -> None:
-    """Normalised views as Parquet by country; the first row of an id wins; nothing is done if the path exists."""
-    place = Window.partitionBy("entity_id").orderBy("_order")
-    rows = raw.withColumn("_order", F.monotonically_increasing_id()).withColumn("_place", F.row_number().over(place))
-    rows = rows.where("_place = 1").drop("_order", "_place")
+    """Normalised views as Parquet by country; one row of an id is stored; nothing is done if the path exists.
+
+    That row is the first by line_no, if raw has it, else by content, so that it does not
+    depend on how files are split.
+    """
+    order = ["line_no"] if "line_no" in raw.columns else [c for c in vocab.RAW if c != "entity_id"]
+    place = Window.partitionBy("entity_id").orderBy(*order)
+    rows = raw.withColumn("_place", F.row_number().over(place)).where("_place = 1").drop("_place", "line_no")
     keyed_views(rows, dialect, compose).withColumn("source", F.lit(source)).write.mode("ignore").partitionBy("country").parquet(path)
 
 

@@ -181,3 +181,21 @@ def test_nine_situations(spark):
     found = {tuple(r) for r in candidates.select("source1_entity_id", "candidate_entity_id").collect()}
     assert {("S1-2", "S2-2"), ("S1-3", "S3-2")} <= found
     assert got["S1-1"] == ["S2-1", "S3-1"] and got["S1-3"] == ["S2-3"] and got["S1-4"] == ["S2-5"] and "S1-5" not in got
+
+
+def test_stored_views_keep_one_row_of_an_id(spark, tmp_path):
+    rows = [("S2-1", "Zeta Ltd", "1 Lake Road", "US"), ("S2-1", "Alpha Ltd", "1 Lake Road", "US"), ("S2-2", "Ｂｅｔａ", "", "India")]
+    raw = spark.createDataFrame(rows, RAW)
+    tables.store_views(raw.repartition(3), str(tmp_path / "a"), "S2")
+    got = {r["entity_id"]: r for r in spark.read.parquet(str(tmp_path / "a")).collect()}
+    assert {k: (r["name_clean"], r["source"], r["country"]) for k, r in got.items()} == {"S2-1": ("alpha ltd", "S2", "US"), "S2-2": ("beta", "S2", "India")}
+    numbered = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], f"{RAW}, line_no long")
+    tables.store_views(numbered, str(tmp_path / "b"), "S2")
+    tables.store_views(raw.where("false"), str(tmp_path / "b"), "S2")  # exists: nothing is done
+    assert sorted(r["name_clean"] for r in spark.read.parquet(str(tmp_path / "b")).collect()) == ["beta", "zeta ltd"]
+
+
+def test_numeric_order(spark):
+    ids = ["S1-10", "S1-9", "S1-100", "S1-1"]
+    rows = spark.createDataFrame([(i,) for i in ids], "entity_id string")
+    assert [r["entity_id"] for r in tables.numeric_order(rows).collect()] == ["S1-1", "S1-9", "S1-10", "S1-100"]
