@@ -435,5 +435,18 @@ SELECT count(*) AS total_rows, count(DISTINCT source1_entity_id) AS unique_s1, c
   round(1 - CAST(count(DISTINCT business_name) AS DOUBLE) / count(*), 6) AS repeated_names FROM s3 GROUP BY country""",
     "shared_candidates": f"{_base()} SELECT id AS candidate_entity_id, CAST(2 AS BIGINT) AS n_s1 FROM truth_pairs WHERE source1_entity_id LIKE '%1'",
     "folds": f"{_FOLDS} SELECT * FROM folds",
+    "folds_balance": f"""{_FOLDS} SELECT country, CASE WHEN match_count = 0 THEN '0' WHEN match_count = 1 THEN '1' WHEN match_count <= 3 THEN '2_3' ELSE '4_plus' END AS bucket,
+  fold, count(*) AS n FROM folds GROUP BY ALL""",
+    "channel_diagnosis": f"""{_base()}, words AS (SELECT entity_id, list_filter(string_split(name_clean, ' '), lambda w: length(w) >= 3 AND w NOT IN {_in(vocab.PROBE_STOPS)})[1] AS word FROM q)
+SELECT count(*) AS total_true_pairs, count(*) FILTER (WHERE contains(t.name_clean, w.word)) AS reached_pairs,
+  round(CAST(count(*) FILTER (WHERE contains(t.name_clean, w.word)) AS DOUBLE) / count(*), 6) AS share
+FROM (SELECT DISTINCT source1_entity_id, id FROM truth_pairs) p LEFT JOIN words w ON w.entity_id = p.source1_entity_id LEFT JOIN t ON t.entity_id = p.id""",
+    "proof_samples": f"""{_DECIDED}, found AS (SELECT source1_entity_id, list(DISTINCT candidate_entity_id) AS got FROM accepted GROUP BY 1),
+kinds AS (SELECT t.*, got, CASE WHEN len(got) > 0 THEN 'matched' WHEN len(ids) = 0 THEN 'singleton' END AS kind FROM truth t LEFT JOIN found f ON f.source1_entity_id = t.source1_entity_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY country, kind ORDER BY source1_entity_id) AS i FROM kinds WHERE kind IS NOT NULL),
+proof AS (SELECT kind, source1_entity_id, ids, unnest(CASE WHEN kind = 'matched' THEN got ELSE [CAST(NULL AS VARCHAR)] END) AS candidate_entity_id FROM placed WHERE i <= 3)
+SELECT p.kind, p.source1_entity_id, s1.country, s1.business_name, s1.business_address, p.candidate_entity_id, e.business_name AS matched_name,
+  e.business_address AS matched_address, CASE WHEN p.candidate_entity_id IS NOT NULL THEN list_contains(p.ids, p.candidate_entity_id) END AS is_true
+FROM proof p JOIN s1 ON s1.entity_id = p.source1_entity_id LEFT JOIN every e ON e.entity_id = p.candidate_entity_id""",
     "rapid_sample": f"{_FOLDS} SELECT source1_entity_id, country, match_count FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY md5('42:' || source1_entity_id), source1_entity_id) AS i FROM folds WHERE fold = 0) WHERE i <= 50",
 }

@@ -379,6 +379,16 @@ def candidate_volume(r):
     return _rounded(evaluate.candidate_volume(_scored(r)[0], r.s1))
 
 
+@query
+def channel_diagnosis(r):
+    return _rounded(evaluate.word_reach(r.truth, normalized_views(r.s1), _views(r)))
+
+
+@query
+def proof_samples(r):
+    return evaluate.side_by_side(r.truth, decide.matches(_decided(r)[1]), r.s1, _targets(r))
+
+
 # ---- audits and splits
 
 
@@ -419,6 +429,11 @@ def folds(r):
     return _folds(r)
 
 
+@query
+def folds_balance(r):
+    return split.balance(_folds(r))
+
+
 @query
 def rapid_sample(r):
     return split.rapid_sample(_folds(r), 50)

@@ -12,6 +12,8 @@ from linkwright.operators.views import keyed_views
 
 RESULTS = ("source1_entity_id", "matched_entity_ids")
 CANDIDATES = ("source1_entity_id", "candidate_entity_ids")
+#: The long form of candidates: one pair a row.
+PAIRS = ("source1_entity_id", "candidate_entity_id")
 
 
 def read_tsv(spark: SparkSession, path: str, columns: tuple[str, ...] = vocab.RAW) -> DataFrame:
@@ -21,8 +23,8 @@ def read_tsv(spark: SparkSession, path: str, columns: tuple[str, ...] = vocab.RA
     return rows.select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns])
 
 
-def write_tsv(rows: DataFrame, path: str, single: bool = False) -> None:
-    (rows.coalesce(1) if single else rows).write.mode("overwrite").options(
+def write_tsv(rows: DataFrame, path: str, single: bool = False, mode: str = "overwrite") -> None:
+    (rows.coalesce(1) if single else rows).write.mode(mode).options(
         sep="\t", header=True, quote='"', escape='"', emptyValue="", nullValue=""
     ).csv(path)
 
@@ -51,11 +53,43 @@ def lookup(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def part_of(rows: DataFrame, part: int, parts: int, by: str = "entity_id") -> DataFrame:
-    """Range `part` (from 1) of `parts` equal ranges of the rows, in order of id."""
-    n = rows.count()
-    size = -(-n // parts)
-    ranked = rows.withColumn("_place", F.row_number().over(Window.orderBy(by)))
-    return ranked.where((F.col("_place") > (part - 1) * size) & (F.col("_place") <= part * size)).drop("_place")
+    """Range `part` (from 1) of `parts` equal ranges of the rows, in order of id.
+
+    Null ids come first.  Rows with one id stay together, in the range that holds the first
+    of them.  What is returned is a filter on the id: ids are counted and sorted over all
+    executors, and only one range of them at a time is looked into for a cut.
+    """
+    if not 1 <= part <= parts:
+        raise ValueError(f"part must be from 1 to {parts}")
+    ids = rows.groupBy(by).agg(F.count("*").alias("n"))
+    ranges = ids.where(F.col(by).isNotNull()).repartitionByRange(by).withColumn("_range", F.spark_partition_id())
+    ends = ranges.groupBy("_range").agg(F.min(by).alias("low"), F.max(by).alias("high"), F.sum("n").alias("n")).collect()
+    ends.sort(key=lambda r: r["_range"])
+    nulls = rows.where(F.col(by).isNull()).count()
+    size = -(-(nulls + sum(r["n"] for r in ends)) // parts)
+
+    def cut(place: int):
+        """The first id that begins at this place or after it; None if no id does."""
+        begun = nulls
+        for r in ends:
+            if place <= begun:
+                return r["low"]
+            if place < begun + r["n"]:
+                inside = ids.where(F.col(by).between(r["low"], r["high"]))
+                before = F.sum("n").over(Window.orderBy(by)) - F.col("n")
+                found = inside.withColumn("_place", before + begun).where(F.col("_place") >= place).agg(F.min(by)).first()[0]
+                if found is not None:
+                    return found
+            begun += r["n"]
+        return None
+
+    low, high = cut((part - 1) * size), cut(part * size)
+    inside = F.lit(False) if low is None else F.col(by) >= low
+    if high is not None:
+        inside = inside & (F.col(by) < high)
+    if part == 1 and size:
+        inside = F.col(by).isNull() | inside
+    return rows.where(inside)
 
 
 def not_done(rows: DataFrame, done: DataFrame) -> DataFrame:
@@ -85,6 +119,14 @@ def merge_parts(s1: DataFrame, parts: list[DataFrame]) -> DataFrame:
     return out.select("source1_entity_id", F.coalesce("first.matched_entity_ids", F.lit("")).alias("matched_entity_ids"))
 
 
+def merge_candidates(parts: list[DataFrame]) -> DataFrame:
+    """Candidate pairs of several parts as one; a pair that a part wrote again after a failure counts once."""
+    rows = parts[0].select(*PAIRS)
+    for part in parts[1:]:
+        rows = rows.unionByName(part.select(*PAIRS))
+    return rows.distinct()
+
+
 def write_outputs(s1: DataFrame, accepted: DataFrame, candidates: DataFrame, path: str) -> None:
     """matching_results and candidate_pairs under path, checked before they are written."""
     from linkwright.operators.audit import assert_submission

@@ -47,6 +47,9 @@ DOMAIN_ENDINGS = ("com", "in", "org", "net", "co", "biz", "info", "io", "ai", "g
 # fixed values: look-alike characters and the letters they stand for
 LEET_FROM, LEET_TO = "01354@$", "olesaas"
 
+# fixed values: words that the diagnosis of name words passes over
+PROBE_STOPS = ("the", "and", "for", "with", "inc", "ltd", "pvt", "llc", "corp", "company", "co")
+
 # fixed values: the order of the model's inputs
 FEATURES = (
     "exact_compact", "exact_core", "exact_leet", "name_jw", "core_jw", "name_jaccard",
