@@ -443,8 +443,8 @@ SELECT count(*) AS total_true_pairs, count(*) FILTER (WHERE contains(t.name_clea
 FROM (SELECT DISTINCT source1_entity_id, id FROM truth_pairs) p LEFT JOIN words w ON w.entity_id = p.source1_entity_id LEFT JOIN t ON t.entity_id = p.id""",
     "proof_samples": f"""{_DECIDED}, found AS (SELECT source1_entity_id, list(DISTINCT candidate_entity_id) AS got FROM accepted GROUP BY 1),
 kinds AS (SELECT t.*, got, CASE WHEN len(got) > 0 THEN 'matched' WHEN len(ids) = 0 THEN 'singleton' END AS kind FROM truth t LEFT JOIN found f ON f.source1_entity_id = t.source1_entity_id),
-placed AS (SELECT *, row_number() OVER (PARTITION BY country, kind ORDER BY source1_entity_id) AS i FROM kinds WHERE kind IS NOT NULL),
-proof AS (SELECT kind, source1_entity_id, ids, unnest(CASE WHEN kind = 'matched' THEN got ELSE [CAST(NULL AS VARCHAR)] END) AS candidate_entity_id FROM placed WHERE i <= 3)
+samples AS (SELECT *, row_number() OVER (PARTITION BY country, kind ORDER BY source1_entity_id) AS i FROM kinds WHERE kind IS NOT NULL),
+proof AS (SELECT kind, source1_entity_id, ids, unnest(CASE WHEN kind = 'matched' THEN got ELSE [CAST(NULL AS VARCHAR)] END) AS candidate_entity_id FROM samples WHERE i <= 3)
 SELECT p.kind, p.source1_entity_id, s1.country, s1.business_name, s1.business_address, p.candidate_entity_id, e.business_name AS matched_name,
   e.business_address AS matched_address, CASE WHEN p.candidate_entity_id IS NOT NULL THEN list_contains(p.ids, p.candidate_entity_id) END AS is_true
 FROM proof p JOIN s1 ON s1.entity_id = p.source1_entity_id LEFT JOIN every e ON e.entity_id = p.candidate_entity_id""",
