@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from linkwright.operators import blocking
+from linkwright.operators import blocking, decide, features
 from linkwright.operators.views import keyed_views
 
 RAW = "entity_id string, business_name string, business_address string, country string"
@@ -51,3 +51,16 @@ def plan_of(rows) -> str:
 def test_candidates_are_not_shuffled(sides):
     queries, targets = sides
     assert exchanges_above(plan_of(blocking.block(queries, targets, 80)), "Generate inline") == 0
+
+
+def test_pairs_stay_in_their_bucket(sides):
+    """Features of a pair are made where its candidates are; they and the decisions are those of the plain joins."""
+    queries, targets = sides
+    both = targets["S2"].unionByName(targets["S3"])
+    own, parts = blocking.dealt(queries)
+    candidates = blocking.block(own, targets, 80, parts)
+    there = features.score_logistic(features.pair_features(candidates, own, both, parts=parts))
+    assert exchanges_above(plan_of(there), "Generate inline") == 0
+    there = decide.decisions(there)
+    plain = decide.decisions(features.score_logistic(features.pair_features(candidates.drop("bucket"), queries, both)))
+    assert sorted(map(tuple, there.select(plain.columns).collect())) == sorted(map(tuple, plain.collect()))
