@@ -64,3 +64,14 @@ def test_pairs_stay_in_their_bucket(sides):
     there = decide.decisions(there)
     plain = decide.decisions(features.score_logistic(features.pair_features(candidates.drop("bucket"), queries, both)))
     assert sorted(map(tuple, there.select(plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_accepted_rows_of_a_sweep(sides):
+    queries, targets = sides
+    own, parts = blocking.dealt(queries)
+    both = targets["S2"].unionByName(targets["S3"])
+    scored = features.score_logistic(features.pair_features(blocking.block(own, targets, 80, parts), own, both, parts=parts)).cache()
+    limits = [0.5, 0.75, 0.9]
+    got = decide.sweep(scored, limits, accepted=True).select("threshold", "source1_entity_id", "candidate_entity_id", "reason").collect()
+    want = [(t, *r) for t in limits for r in decide.decisions(scored, threshold=t).where("accepted").select("source1_entity_id", "candidate_entity_id", "reason").collect()]
+    assert want and sorted(map(tuple, got)) == sorted(want)
