@@ -19,8 +19,9 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Pieces that a process keeps, and pieces it remembers to have met once; either table is
-#: begun anew when full.  Only pieces met twice are kept, as most others never come again.
+#: Pieces that a process keeps, and pieces it has met once; either table is begun anew when
+#: full.  A piece met once has its ids there, so that it is not encoded again when it is kept;
+#: only pieces met twice are kept, as most others never come again.
 KEPT_PIECES, MET_PIECES = 1_000_000, 500_000
 #: Characters of the longest piece that is kept, so that the tables are bounded in bytes.
 LONGEST_KEPT = 64
@@ -42,29 +43,31 @@ class _Pieces(dict):
     def __init__(self, tokenizer: Tokenizer) -> None:
         super().__init__()
         self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model, _byte_letters()
-        self.met: set[str] = set()
+        self.met: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        word = _WORD.fullmatch(piece)
-        if word is None:
-            ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
-        elif word[1] or word[3]:
-            ids = b"".join(self[part] for part in word.groups() if part)
-        else:  # one pre-token: straight to the model
-            shown = piece.encode().decode("latin-1").translate(self.letters)
-            ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-        if len(piece) > LONGEST_KEPT:
-            return ids
-        if piece in self.met:
+        ids = self.met.get(piece)
+        if ids is not None:
             if len(self) >= KEPT_PIECES:
                 self.clear()
             self[piece] = ids
-        else:
+            return ids
+        ids = self.encoded(piece)
+        if len(piece) <= LONGEST_KEPT:
             if len(self.met) >= MET_PIECES:
                 self.met.clear()
-            self.met.add(piece)
+            self.met[piece] = ids
         return ids
 
+    def encoded(self, piece: str) -> bytes:
+        word = _WORD.fullmatch(piece)
+        if word is None:
+            return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        if word[1] or word[3]:
+            return b"".join(self[part] for part in word.groups() if part)
+        shown = piece.encode().decode("latin-1").translate(self.letters)  # one pre-token: straight to the model
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
 
 class Encoder:
     def __init__(self, path: str) -> None:

@@ -126,3 +126,23 @@ def test_counts_of_sentencepiece(spark, tmp_path):
     got = token_counts.token_counts(frame(spark, [(1, "Hello there"), (2, None)]), str(tmp_path / "c"), path)
     want = len(sentencepiece.SentencePieceProcessor(model_file=path).encode("Hello there"))
     assert sorted((r["doc_id"], r["n_tokens"]) for r in got.collect()) == [(1, want), (2, 0)]
+
+
+def test_a_piece_met_twice_is_encoded_once(monkeypatch):
+    from linkwright.llm import encoding
+
+    monkeypatch.setattr(encoding, "KEPT_PIECES", 2)
+    monkeypatch.setattr(encoding, "MET_PIECES", 3)
+    pieces, made = encoding.Encoder(PATH)._pieces, []
+    model = pieces.model
+
+    class Counted:
+        def tokenize(self, shown):
+            made.append(shown)
+            return model.tokenize(shown)
+
+    pieces.model = Counted()
+    for piece in ("one", "two", "one", "one", "two", "three", "three", "four"):
+        assert pieces[piece] == np.array(ids_of(piece), dtype="<u4").tobytes()
+        assert len(pieces) <= 2 and len(pieces.met) <= 3
+    assert made == ["one", "two", "three", "four"]
