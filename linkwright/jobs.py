@@ -18,6 +18,7 @@ from linkwright.operators import audit, blocking, evaluate, features, model, spl
 from linkwright.operators.views import keyed_views
 from linkwright.plans.linkage import link
 from linkwright.sources import tables
+from linkwright.sources.staging import drop, stage
 
 #: Countries that a report names, the commonest first; the rest is counted under `others`.
 NAMED_COUNTRIES = 200
@@ -101,13 +102,14 @@ def make_folds(spark, s1: str, truth: str, out: str, folds: int = 5, rapid: int
     tables.write_tsv(split.rapid_sample(rows, rapid, seed), f"{out}/rapid_eval_s1.tsv")
 
 
-def train(spark, s1: str, s2: str, s3: str, truth: str, out: str, cap: int = 80, most: int = 1250, **options) -> None:
-    """Fit the matcher on the queries outside fold 0 and save it under out."""
+def train(spark, s1: str, s2: str, s3: str, truth: str, out: str, cap: int = 80, **options) -> None:
+    """Fit the matcher on all queries outside fold 0 and save it under out."""
     raw, real = tables.read_tsv(spark, s1), _results(spark, truth)
     queries, targets = keyed_views(raw), {f"S{k}": keyed_views(tables.read_tsv(spark, p)) for k, p in ((2, s2), (3, s3))}
     rows = features.pair_features(blocking.block(queries, targets, cap), queries, targets["S2"].unionByName(targets["S3"]))
-    labelled = split.training_pairs(rows, evaluate.truth_pairs(real), split.stratified_folds(real, raw), most)
+    labelled = stage(split.training_pairs(rows, evaluate.truth_pairs(real), split.stratified_folds(real, raw)), "labelled", "zstd")
     model.EntityMatcher(**options).fit(labelled).save(out)
+    drop(labelled)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -130,7 +132,7 @@ def _parser() -> argparse.ArgumentParser:
     command("validate", "s1", "results", "candidates")
     command("split", "s1", "truth", "out", folds=5, rapid=2500, seed=42)
     command("store", "table", "source", "out")
-    command("train", "s1", "s2", "s3", "truth", "out", cap=80, most=1250, trees=200, rate=0.07, depth=6, leaf=20)
+    command("train", "s1", "s2", "s3", "truth", "out", cap=80, trees=200, rate=0.07, depth=6, leaf=20)
     return made
 
 

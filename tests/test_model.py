@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkwright import queries, vocab
-from linkwright.operators import model
+from linkwright.operators import evaluate, model, split
+from linkwright.plans.registry import Registry
 
 DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -83,3 +84,48 @@ def test_scores_of_the_whole_fold(spark):
     keys = got.select(*pairs.columns)
     assert keys.count() == pairs.count() > 0 and keys.exceptAll(pairs).isEmpty() and pairs.exceptAll(keys).isEmpty()
     assert got.where("probability is null or probability not between 0 and 1").isEmpty()
+
+
+def test_every_query_outside_fold_0_is_trained_on(spark):
+    folds = spark.range(0, 4000, 1, 3).select(F.concat(F.lit("S1-"), "id").alias("source1_entity_id"), F.lit("US").alias("country"), (F.col("id") % 5).cast("int").alias("fold"))
+    assert split.training_queries(folds).distinct().count() == 3200
+
+
+def test_training_rows_are_whole_and_rightly_labelled(spark, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def fit(self, labelled):
+        raise Asked(labelled)
+
+    monkeypatch.setattr(model.EntityMatcher, "fit", fit)
+    with pytest.raises(Asked) as found:
+        queries.QUERIES["gbt_scores"](spark, DIR)
+    key = ["source1_entity_id", "candidate_entity_id"]
+    got = found.value.args[0].select(*key, "label").cache()
+    train = queries.QUERIES["folds"](spark, DIR).where("fold > 0")
+    pairs = queries.QUERIES["block_capped"](spark, DIR).join(train, "source1_entity_id", "left_semi").select(*key)
+    real = evaluate.truth_pairs(Registry(spark, DIR).truth).withColumn("label", F.lit(1.0))
+    want = pairs.join(real, key, "left").fillna(0.0, ["label"])
+    assert got.where("label = 1").count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_models_do_not_depend_on_tasks(spark, monkeypatch):
+    rows, made = labelled(spark, 3000), []
+    for tasks, block in ((1, model.BLOCK), (4, model.BLOCK), (3, 64)):
+        monkeypatch.setattr(model, "_at_once", lambda spark: tasks)
+        monkeypatch.setattr(model, "BLOCK", block)
+        made.append(model.EntityMatcher(trees=8, depth=4).fit(rows.repartition(5)).models)
+    assert made[0] == made[1] == made[2]
+
+
+def test_bytes_hold_all_bins():
+    rng = np.random.default_rng(1)
+    widths = [256, 1, 2, 2, 250, 16, 2, 11, 3, 1, 255, 6]
+    layout, cuts = model.Layout(widths), [np.arange(w - 1) + 0.5 for w in widths]
+    x = [rng.integers(0, w, 2000) for w in widths]
+    rows = layout.packed([c.astype(float) for c in x], cuts)
+    assert rows.shape[1] < len(widths) and max(layout.sizes) <= 256
+    sums = layout.by_feature([np.bincount(rows[:, i], minlength=s).astype(float) for i, s in enumerate(layout.sizes)])
+    for f, (byte, _) in enumerate(layout.places):
+        assert (layout.bins(f, rows[:, byte]) == x[f]).all() and (sums[layout.spans[f]] == np.bincount(x[f], minlength=widths[f])).all()
